@@ -1,0 +1,88 @@
+"""Equi-join that keeps hot keys of a large table from landing in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A group of keys below this many rows is left alone, however large its share.
+MIN_HOT_ROWS = 100_000
+
+# Hash groups per shuffle partition when measuring how keys are spread.
+GROUPS_PER_PARTITION = 4
+
+_GROUP, _SLICES, _SLICE = "__key_group", "__slices", "__slice"
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Join a large ``left`` with a ``right`` that has one row per key.
+
+    ``how`` is ``inner``, ``left_semi`` or ``left_anti``. The result is
+    that of the plain join. Keys are hashed into a fixed number of groups and
+    the rows of each group counted. A group that would overfill an average
+    shuffle partition is cut into slices: each left row goes to one slice, and
+    the right rows of the group are repeated once per slice. Left rows with a
+    NULL key match nothing and are dealt out over all partitions.
+
+    The counts are exact and do not depend on task order, so the two sides
+    agree on the slices even if a lost executor makes Spark count again.
+    """
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = partitions * GROUPS_PER_PARTITION
+    # Fewer rows than there are shuffle partitions, whatever the data: each hot
+    # group holds more than 1/partitions of the rows.
+    hot = F.broadcast(_hot_groups(left, key, groups, partitions, min_hot_rows))
+
+    slices = F.coalesce(F.col(_SLICES), F.lit(1))
+    left_slices = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(slices)
+    # The task number deals rows to slices: it is the same when a task is rerun.
+    sliced_left = (
+        left.withColumn(_GROUP, _group_of(key, groups))
+        .join(hot, _GROUP, "left")
+        .withColumn(_SLICE, F.pmod(F.spark_partition_id(), left_slices))
+        .drop(_GROUP, _SLICES)
+    )
+    sliced_right = (
+        right.where(F.col(key).isNotNull())
+        .withColumn(_GROUP, _group_of(key, groups))
+        .join(hot, _GROUP, "left")
+        .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
+        .drop(_GROUP, _SLICES)
+    )
+    added = [c for c in right.columns if c != key] if how == "inner" else []
+    return sliced_left.join(sliced_right, [key, _SLICE], how).select(*left.columns, *added)
+
+
+def _group_of(key: str, groups: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(groups)).cast("int")
+
+
+def _hot_groups(
+    rows: DataFrame, key: str, groups: int, partitions: int, min_hot_rows: int
+) -> DataFrame:
+    """Key groups with more than an average partition's rows, and their slices."""
+    counted = (
+        rows.where(F.col(key).isNotNull())
+        .groupBy(_group_of(key, groups).alias(_GROUP))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    # One row; the list has at most `groups` entries.
+    packed = counted.agg(
+        F.collect_list(F.struct(_GROUP, "rows")).alias("counted"),
+        F.sum("rows").alias("total"),
+    )
+    return (
+        packed.select("total", F.inline("counted"))
+        .where(F.col("rows") * partitions > F.col("total"))
+        .where(F.col("rows") >= min_hot_rows)
+        .select(
+            _GROUP,
+            F.ceil(F.col("rows") * (2 * partitions) / F.col("total")).cast("int").alias(_SLICES),
+        )
+    )
