@@ -1,4 +1,4 @@
-from acquaint.functions.columns import as_text, equals_key, shorten, to_field
+from acquaint.functions.columns import as_text, equals_key, shorten
 from acquaint.functions.typed import typed
 
-__all__ = ["as_text", "equals_key", "shorten", "to_field", "typed"]
+__all__ = ["as_text", "equals_key", "shorten", "typed"]

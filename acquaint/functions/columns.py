@@ -4,23 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from acquaint.schemas import SUMMARY_TEXT_LENGTH
 
 
-def to_field(column: Column, field: T.StructField) -> Column:
-    """Cast a stored column to its fixed type; NULL numbers become 0.
-
-    Strings and dates keep their NULLs. A date column that carries a time part
-    loses it. Casts follow the session's ANSI mode, so a malformed value raises.
-    """
-    value = column.cast(field.dataType)
-    if isinstance(field.dataType, T.NumericType):
-        value = F.coalesce(value, F.lit(0).cast(field.dataType))
-    return value.alias(field.name)
-
-
 def equals_key(column: str, key: object) -> Column:
     """SQL equality with a bound value: a NULL key matches nothing."""
     return F.col(column) == F.lit(key)

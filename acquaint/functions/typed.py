@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from acquaint.functions.columns import to_field
 from acquaint.schemas import schema_of
 
 
 def typed(stored: DataFrame, table: str) -> DataFrame:
     """The table's fixed columns in their fixed types, NULL numbers as 0.
 
+    Strings and dates keep their NULLs, and a date that carries a time part
+    loses it. Casts follow the session's ANSI mode, so a malformed value raises.
+
     Filters on stored values belong *before* this projection: SQL equality sees
     the stored NULL (which matches nothing), the typed column shows 0. Applying
     it twice changes nothing.
     """
-    return stored.select(*[to_field(F.col(f.name), f) for f in schema_of(table).fields])
+    return stored.selectExpr(*[_typed_field(f) for f in schema_of(table).fields])
+
+
+def _typed_field(field: T.StructField) -> str:
+    value = f"CAST(`{field.name}` AS {field.dataType.simpleString()})"
+    if isinstance(field.dataType, T.NumericType):
+        value = f"coalesce({value}, 0)"
+    return f"{value} AS `{field.name}`"

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from acquaint.schemas import SCHEMAS
 from acquaint.tables import SocialTables
 
 
 def read_parquet_tables(spark: SparkSession, root: str) -> SocialTables:
     """The four tables stored as ``<root>/<table>`` (see ``plans.extraction``)."""
-    return SocialTables(
-        **{table: spark.read.parquet(f"{root.rstrip('/')}/{table}") for table in SCHEMAS}
-    )
+    return SocialTables(lambda table: spark.read.parquet(f"{root.rstrip('/')}/{table}"))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,19 +12,39 @@ from acquaint.operators import inspection, lookups, social, summaries
 from acquaint.schemas import SCHEMAS, USER, schema_of
 
 
-@dataclass(frozen=True)
 class SocialTables:
-    """Stored (untyped) frames; every accessor returns a lazy DataFrame."""
+    """The stored (untyped) tables of any source; accessors return lazy DataFrames.
 
-    user: DataFrame
-    review: DataFrame
-    elite: DataFrame
-    friend: DataFrame
+    ``load`` gives the stored frame of a table name. It is called when a table
+    is first used, so a query opens only the tables it reads.
+    """
+
+    def __init__(self, load: Callable[[str], DataFrame]):
+        self._load = load
+        self._stored: dict[str, DataFrame] = {}
 
     def stored(self, table: str) -> DataFrame:
         """A stored frame by its exact table name; an unknown name raises."""
         schema_of(table)
-        return getattr(self, table)
+        if table not in self._stored:
+            self._stored[table] = self._load(table)
+        return self._stored[table]
+
+    @property
+    def user(self) -> DataFrame:
+        return self.stored("user")
+
+    @property
+    def review(self) -> DataFrame:
+        return self.stored("review")
+
+    @property
+    def elite(self) -> DataFrame:
+        return self.stored("elite")
+
+    @property
+    def friend(self) -> DataFrame:
+        return self.stored("friend")
 
     def items(self) -> Iterator[tuple[str, DataFrame]]:
         return ((table, self.stored(table)) for table in SCHEMAS)

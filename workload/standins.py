@@ -7,63 +7,73 @@ time part, links repeat and point at unknown users.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acquaint import SocialTables
 
-# Compliment columns and the number that makes each of them NULL (multiples)
-# or gives its value (remainder).
-COMPLIMENTS = {
-    "cool": 2,
-    "cute": 3,
-    "funny": 4,
-    "hot": 5,
-    "list": 6,
-    "more": 7,
-    "note": 8,
-    "photos": 9,
-    "plain": 10,
-    "profile": 11,
-    "writer": 12,
+# Columns used of each test table. Declaring them saves a look into the files.
+INPUTS = {
+    "customer": "c_custkey bigint, c_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint",
+    "documents": "doc_id bigint, text string",
 }
 
+# One column per kind of compliment: NULL for multiples of a number, else the
+# remainder. The numbers are 2, 3, 4, ... in this order.
+COMPLIMENTS = [
+    "cool",
+    "cute",
+    "funny",
+    "hot",
+    "list",
+    "more",
+    "note",
+    "photos",
+    "plain",
+    "profile",
+    "writer",
+]
+
 
 def social_tables(spark: SparkSession, sf_dir: str) -> SocialTables:
     def read(table: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-
-    orders = read("orders")
-    review = reviews(orders, read("documents"))
-    return SocialTables(
-        user=users(read("customer"), read("supplier"), review),
-        review=review,
-        elite=elites(orders),
-        friend=friends(read("lineitem"), orders),
-    )
+        return spark.read.schema(INPUTS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+    def load(table: str) -> DataFrame:
+        if table == "user":
+            return users(read("customer"), read("supplier"), load("review"))
+        if table == "review":
+            return reviews(read("orders"), read("documents"))
+        if table == "elite":
+            return elites(read("orders"))
+        return friends(read("lineitem"), read("orders"))
+
+    return SocialTables(load)
 
 
 def reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
     """One review per order, with the text of one of the documents."""
-    key = F.col("o_orderkey")
     # Grouping tells Spark that a document id occurs once, so it drops the join
     # from queries that do not read the text.
     texts = documents.groupBy("doc_id").agg(F.min("text").alias("document"))
     document_count = documents.agg(F.count(F.lit(1))).scalar()
     return (
-        orders.withColumn("document_key", key % document_count)
+        orders.withColumn("document_key", F.col("o_orderkey") % document_count)
         .join(texts, F.col("document_key") == F.col("doc_id"), "left")
-        .select(
-            _id("b", key % 97).alias("business_id"),
-            F.when(key % 11 != 0, key % 3).alias("cool"),
-            F.col("o_orderdate").alias("date"),
-            (key % 5).alias("funny"),
-            _id("r", key).alias("review_id"),
-            (1 + key % 5).cast("double").alias("stars"),
-            F.when(key % 13 != 0, F.col("document")).alias("text"),
-            (key % 7).alias("useful"),
-            _id("u", F.col("o_custkey")).alias("user_id"),
-            (key % 8).cast("int").alias("spark_partition"),
+        .selectExpr(
+            "concat('b', o_orderkey % 97) AS business_id",
+            "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 3 END AS cool",
+            "o_orderdate AS date",
+            "o_orderkey % 5 AS funny",
+            "concat('r', o_orderkey) AS review_id",
+            "CAST(1 + o_orderkey % 5 AS double) AS stars",
+            "CASE WHEN o_orderkey % 13 <> 0 THEN document END AS text",
+            "o_orderkey % 7 AS useful",
+            "concat('u', o_custkey) AS user_id",
+            "CAST(o_orderkey % 8 AS int) AS spark_partition",
         )
     )
 
@@ -71,10 +81,11 @@ def reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
 def elites(orders: DataFrame) -> DataFrame:
     """A user is elite in each year with two orders or more."""
     return (
-        orders.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+        orders.selectExpr("o_custkey", "year(o_orderdate) AS year")
+        .groupBy("o_custkey", "year")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= 2)
-        .select(_id("u", F.col("o_custkey")).alias("user_id"), "year")
+        .where("n >= 2")
+        .selectExpr("concat('u', o_custkey) AS user_id", "year")
     )
 
 
@@ -82,26 +93,17 @@ def friends(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """The buyer of each line item links to the user numbered like the part."""
     return (
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .where(F.col("o_custkey") != F.col("l_partkey"))
-        .select(
-            _id("u", F.col("o_custkey")).alias("user_id"),
-            _id("u", F.col("l_partkey")).alias("friend_id"),
-        )
+        .where("o_custkey <> l_partkey")
+        .selectExpr("concat('u', o_custkey) AS user_id", "concat('u', l_partkey) AS friend_id")
     )
 
 
 def users(customer: DataFrame, supplier: DataFrame, review: DataFrame) -> DataFrame:
     """Customers, who write reviews, and suppliers, who do not and have no links."""
-    people = customer.select(
-        F.col("c_custkey").alias("n"),
-        _id("u", F.col("c_custkey")).alias("user_id"),
-        F.col("c_name").alias("name"),
+    people = customer.selectExpr(
+        "c_custkey AS n", "concat('u', c_custkey) AS user_id", "c_name AS name"
     ).unionByName(
-        supplier.select(
-            F.col("s_suppkey").alias("n"),
-            _id("s", F.col("s_suppkey")).alias("user_id"),
-            F.col("s_name").alias("name"),
-        )
+        supplier.selectExpr("s_suppkey AS n", "concat('s', s_suppkey) AS user_id", "s_name AS name")
     )
     activity = review.groupBy("user_id").agg(
         F.avg("stars").alias("stars"),
@@ -111,20 +113,18 @@ def users(customer: DataFrame, supplier: DataFrame, review: DataFrame) -> DataFr
         F.count(F.lit(1)).alias("review_count"),
         F.min("date").alias("first_date"),
     )
-    n = F.col("n")
-    return people.join(activity, "user_id", "left").select(
-        F.when(n % 19 != 0, F.col("stars")).alias("average_stars"),
-        *[F.when(n % k != 0, n % k).alias(f"compliment_{c}") for c, k in COMPLIMENTS.items()],
+    return people.join(activity, "user_id", "left").selectExpr(
+        "CASE WHEN n % 19 <> 0 THEN stars END AS average_stars",
+        *[
+            f"CASE WHEN n % {k} <> 0 THEN n % {k} END AS compliment_{kind}"
+            for k, kind in enumerate(COMPLIMENTS, start=2)
+        ],
         "cool",
-        (n % 23).alias("fans"),
+        "n % 23 AS fans",
         "funny",
         "name",
         "review_count",
         "useful",
         "user_id",
-        F.when(n % 17 != 0, F.col("first_date")).alias("yelping_since"),
+        "CASE WHEN n % 17 <> 0 THEN first_date END AS yelping_since",
     )
-
-
-def _id(letter: str, number: Column) -> Column:
-    return F.concat(F.lit(letter), number.cast("string"))
