@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from acquaint.schemas import SUMMARY_TEXT_LENGTH
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def equals_key(column: str, key: object) -> Column:
     """SQL equality with a bound value: a NULL key matches nothing."""
     return F.col(column) == F.lit(key)

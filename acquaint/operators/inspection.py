@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.functions import as_text
+from acquaint.functions import as_text, named
 
 
 def table_inventory(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
@@ -40,8 +40,8 @@ def _profile(table: str, frame: DataFrame) -> DataFrame:
             F.lit(position).alias("position"),
             F.lit(name).alias("column_name"),
             F.lit(data_type).alias("data_type"),
-            (F.count(F.lit(1)) - F.count(name)).alias("null_count"),
-            F.max(F.length(as_text(F.col(name)))).alias("longest_text"),
+            (F.count(F.lit(1)) - F.count(named(name))).alias("null_count"),
+            F.max(F.length(as_text(named(name)))).alias("longest_text"),
         )
         for position, (name, data_type) in enumerate(frame.dtypes, start=1)
     ]
@@ -60,7 +60,7 @@ def first_row(frame: DataFrame, *order_by: str) -> DataFrame:
         F.struct(
             F.lit(position).alias("position"),
             F.lit(name).alias("column_name"),
-            as_text(F.col(name)).alias("value"),
+            as_text(named(name)).alias("value"),
         )
         for position, name in enumerate(frame.columns, start=1)
     ]

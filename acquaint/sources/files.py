@@ -1,12 +1,19 @@
-"""Parquet source: one folder or file per table."""
+"""Parquet source: one folder per table."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from acquaint.schemas import schema_of
 from acquaint.tables import SocialTables
 
 
 def read_parquet_tables(spark: SparkSession, root: str) -> SocialTables:
     """The four tables stored as ``<root>/<table>`` (see ``plans.extraction``)."""
-    return SocialTables(lambda table: spark.read.parquet(f"{root.rstrip('/')}/{table}"))
+
+    def load(table: str) -> DataFrame:
+        stored = spark.read.parquet(f"{root.rstrip('/')}/{table}")
+        # Without the columns that only name folders.
+        return stored.select(*schema_of(table).fieldNames())
+
+    return SocialTables(load)

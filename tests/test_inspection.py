@@ -1,0 +1,109 @@
+"""Inventory, column profile and one row as text."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from acquaint.operators import inspection
+from acquaint.plans.overview import overview
+from acquaint.schemas import SCHEMAS
+from tests.helpers import day, elite, friend, review, rows, tables, user
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return tables(
+        spark,
+        user=[user("a", "Ann", average_stars=2.5), user("bb", fans=123)],
+        review=[review("r1", "a", "hello", date=day("2011-02-03"))],
+        elite=[elite("a", 2001), elite("a", None), elite(None, None)],
+    )
+
+
+def test_inventory(t):
+    assert rows(t.inventory()) == {
+        ("user", 20, 2): 1,
+        ("review", 10, 1): 1,
+        ("elite", 2, 3): 1,
+        ("friend", 2, 0): 1,
+    }
+
+
+def test_column_profile_measures_stored_values(t):
+    assert rows(t.column_profiles("elite")) == {
+        ("elite", 1, "user_id", "string", 1, 1): 1,
+        ("elite", 2, "year", "int", 2, 4): 1,
+    }
+    by_name = {r["column_name"]: r for r in t.column_profiles("user").collect()}
+    assert list(by_name) == SCHEMAS["user"].fieldNames()
+    assert tuple(by_name["fans"])[1:] == (14, "fans", "bigint", 1, 3)
+    assert tuple(by_name["average_stars"])[1:] == (1, "average_stars", "double", 1, 3)
+    assert tuple(by_name["cool"])[1:] == (13, "cool", "bigint", 2, None)
+
+
+def test_column_profile_of_all_tables(t):
+    assert t.column_profiles().count() == 34
+
+
+def test_column_profile_of_an_empty_table(t):
+    assert rows(t.column_profiles("friend")) == {
+        ("friend", 1, "user_id", "string", 0, None): 1,
+        ("friend", 2, "friend_id", "string", 0, None): 1,
+    }
+
+
+def test_column_profile_of_an_unknown_table_raises(t):
+    with pytest.raises(ValueError, match="unknown table"):
+        t.column_profiles("review_")
+
+
+def test_first_row(t):
+    shown = {r["column_name"]: r["value"] for r in t.first_row("review").collect()}
+    assert list(shown) == SCHEMAS["review"].fieldNames()
+    assert shown["text"] == "hello" and shown["date"] == "2011-02-03"
+    assert shown["cool"] is None
+
+
+def test_first_row_in_order(t):
+    values = [r["value"] for r in t.first_row("elite", "user_id", "year").collect()]
+    assert values == [None, None]
+
+
+def test_first_row_of_an_empty_table(t):
+    assert t.first_row("friend").count() == 0
+
+
+def test_first_row_of_an_unknown_table_raises(t):
+    with pytest.raises(ValueError, match="unknown table"):
+        t.first_row("elite; DROP TABLE user")
+
+
+def test_odd_column_names(spark):
+    odd = spark.sql("SELECT 1 AS `a.b`, 'x' AS `c d`")
+    assert rows(inspection.first_row(odd)) == {(1, "a.b", "1"): 1, (2, "c d", "x"): 1}
+    assert inspection.profile_columns([("odd", odd)]).count() == 2
+
+
+def test_overview_shows_every_part(spark):
+    t = tables(
+        spark,
+        user=[user(f"u{i}", f"name {i}") for i in range(8)],
+        review=[review("r1", "u0", "hello")],
+        elite=[elite("u0", 2001)],
+        friend=[friend("u0", "u1")],
+    )
+    shown = {title: frame.collect() for title, frame in overview(t)}
+    assert len(shown) == 6 + 2 * len(SCHEMAS)
+    assert [r["user_id"] for r in shown["First 5 users"]] == ["u0", "u1", "u2", "u3", "u4"]
+    profile = shown["Profile of the first user"][0]
+    assert (profile["user_id"], profile["first_review_text"], profile["friend_count"]) == (
+        "u0",
+        "hello",
+        1,
+    )
+
+
+def test_missing_order_column_raises(t):
+    with pytest.raises(AnalysisException):
+        t.first_row("elite", "nothing").collect()

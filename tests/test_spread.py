@@ -1,0 +1,96 @@
+"""The join that cuts up hot keys gives the plain join's rows, and does cut them up."""
+
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from acquaint.operators.spread import spread_join
+from tests.helpers import rows
+
+PARTITIONS = 8
+
+
+def hot_left(spark):
+    """A third of the rows on one key, some NULL keys, repeats, the rest spread."""
+    return (
+        spark.range(0, 6000, 1, 16)
+        .selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL"
+            " ELSE concat('k', id % 400) END AS key",
+            "id % 700 AS value",
+        )
+    )
+
+
+def unique_right(spark):
+    return spark.sql(
+        "SELECT concat('k', id) AS key, concat('name ', id) AS name FROM range(0, 500, 2)"
+        " UNION ALL SELECT 'hot', 'the hot one' UNION ALL SELECT NULL, 'nobody'"
+    )
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("min_hot_rows", [1, 100_000])
+def test_same_rows_as_the_plain_join(spark, how, min_hot_rows):
+    left, right = hot_left(spark), unique_right(spark)
+    plain = left.join(right, "key", how)
+    plain = plain.select("key", "value", *(["name"] if how == "inner" else []))
+    spread = spread_join(left, right, "key", how, min_hot_rows)
+    assert spread.columns == plain.columns
+    assert rows(spread) == rows(plain)
+    assert rows(spread)
+
+
+@pytest.mark.parametrize("how", ["inner", "left_anti"])
+def test_hot_key_reaches_many_tasks(spark, how):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left, right = hot_left(spark), unique_right(spark)
+        if how == "left_anti":
+            right = right.where("key <> 'hot'")
+        key = F.col("key").isNull() if how == "left_anti" else F.col("key") == "hot"
+        hot = F.col("key") == "hot"
+
+        def tasks_of(joined, condition):
+            return joined.where(condition).select(F.spark_partition_id()).distinct().count()
+
+        assert tasks_of(left.join(right, "key", how), hot) == 1
+        spread = spread_join(left, right, "key", how, min_hot_rows=1)
+        assert tasks_of(spread, hot) >= 4
+        assert tasks_of(spread, key) >= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_broadcast_side_is_smaller_than_the_number_of_partitions(spark):
+    from acquaint.operators.spread import GROUPS_PER_PARTITION, _hot_groups
+
+    groups = PARTITIONS * GROUPS_PER_PARTITION
+    hot = _hot_groups(hot_left(spark), "key", groups, PARTITIONS, 1)
+    assert 1 <= hot.count() < PARTITIONS
+
+
+def test_no_hot_groups_on_empty_input(spark):
+    left = hot_left(spark).limit(0)
+    assert spread_join(left, unique_right(spark), "key", "inner", 1).count() == 0
+    assert spread_join(hot_left(spark), unique_right(spark).limit(0), "key", "left_anti", 1).count() == 6000
+
+
+keys = st.sampled_from(["a", "b", "c", "d", None])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=st.lists(keys, max_size=30), right=st.sets(keys, max_size=5))
+def test_any_small_input(spark, left, right):
+    left_rows = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "key string, i int")
+    right_rows = spark.createDataFrame([(k,) for k in right], "key string")
+    known = {k for k in right if k is not None}
+    kept = rows(spread_join(left_rows, right_rows, "key", "left_semi", 1))
+    dropped = rows(spread_join(left_rows, right_rows, "key", "left_anti", 1))
+    assert kept == {(k, i): 1 for i, k in enumerate(left) if k in known}
+    assert dropped == {(k, i): 1 for i, k in enumerate(left) if k not in known}
