@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acquaint.functions import as_text, named
@@ -41,7 +41,7 @@ def _profile(table: str, frame: DataFrame) -> DataFrame:
             F.lit(name).alias("column_name"),
             F.lit(data_type).alias("data_type"),
             (F.count(F.lit(1)) - F.count(named(name))).alias("null_count"),
-            F.max(F.length(as_text(named(name)))).alias("longest_text"),
+            _longest_text(name, data_type).alias("longest_text"),
         )
         for position, (name, data_type) in enumerate(frame.dtypes, start=1)
     ]
@@ -50,6 +50,19 @@ def _profile(table: str, frame: DataFrame) -> DataFrame:
     )
 
 
+def _longest_text(name: str, data_type: str) -> Column:
+    """Length of the longest value as text.
+
+    Among whole numbers that is the smallest or the largest one, so they are
+    compared as numbers and only those two are turned into text.
+    """
+    column = named(name)
+    if data_type in ("tinyint", "smallint", "int", "bigint"):
+        ends = (F.min(column), F.max(column))
+        return F.greatest(*[F.length(as_text(end)) for end in ends])
+    return F.max(F.length(as_text(column)))
+
+
 def first_row(frame: DataFrame, *order_by: str) -> DataFrame:
     """One stored row as position, column name and value; no rows if empty.
 

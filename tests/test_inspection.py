@@ -42,6 +42,15 @@ def test_column_profile_measures_stored_values(t):
     assert tuple(by_name["cool"])[1:] == (13, "cool", "bigint", 2, None)
 
 
+@pytest.mark.parametrize(
+    "values, longest",
+    [([0], 1), ([-5, 44], 2), ([-500, 44], 4), ([-(2**63), 2**63 - 1], 20), ([None], None)],
+)
+def test_longest_whole_number(spark, values, longest):
+    numbers = spark.createDataFrame([(v,) for v in values], "n bigint")
+    assert inspection.profile_columns([("t", numbers)]).first()["longest_text"] == longest
+
+
 def test_column_profile_of_all_tables(t):
     assert t.column_profiles().count() == 34
 
