@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from acquaint.plans.extraction import extract_tables
 from acquaint.plans.overview import overview
+from acquaint.session import apply_recommended
 from acquaint.sources import (
     Database,
     measured_page_splits,
@@ -33,7 +34,7 @@ def main(arguments: list[str] | None = None) -> None:
     show.add_argument("--tables", help="folder written by extract; default: the database")
     chosen = parser.parse_args(arguments)
 
-    spark = SparkSession.builder.appName("acquaint").getOrCreate()
+    spark = apply_recommended(SparkSession.builder.appName("acquaint").getOrCreate())
     if chosen.command == "extract":
         database = Database.from_environment()
         splits = measured_page_splits(spark, database, chosen.parts)

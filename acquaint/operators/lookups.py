@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from acquaint.functions import equals_key, typed
 from acquaint.operators.spread import spread_join
+from acquaint.schemas import ROW_KEYS
 
 
 def scan(stored: DataFrame, table: str) -> DataFrame:
@@ -62,4 +63,4 @@ def for_keys(stored: DataFrame, table: str, column: str, keys: DataFrame) -> Dat
     repeat rows and NULL matches nothing.
     """
     distinct_keys = keys.toDF(column).distinct()
-    return spread_join(typed(stored, table), distinct_keys, column, "left_semi")
+    return spread_join(typed(stored, table), distinct_keys, column, "left_semi", ROW_KEYS[table])

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A group of keys below this many rows is left alone, however large its share.
 MIN_HOT_ROWS = 100_000
 
-# Hash groups per shuffle partition when measuring how keys are spread.
-GROUPS_PER_PARTITION = 4
+# Hash groups per shuffle partition when measuring how keys are spread. More
+# groups make a hot one hold fewer other keys, whose right rows are repeated.
+GROUPS_PER_PARTITION = 16
+
+# Slices a group is cut into for each average partition it would fill. Several
+# small slices even out where they happen to meet in one partition.
+SLICES_PER_PARTITION = 4
 
 _GROUP, _SLICES, _SLICE = "__key_group", "__slices", "__slice"
 
@@ -19,19 +26,24 @@ def spread_join(
     right: DataFrame,
     key: str,
     how: str,
+    apart_by: Sequence[str],
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Join a large ``left`` with a ``right`` that has one row per key.
 
-    ``how`` is ``inner``, ``left_semi`` or ``left_anti``. The result is
-    that of the plain join. Keys are hashed into a fixed number of groups and
-    the rows of each group counted. A group that would overfill an average
-    shuffle partition is cut into slices: each left row goes to one slice, and
-    the right rows of the group are repeated once per slice. Left rows with a
-    NULL key match nothing and are dealt out over all partitions.
+    ``how`` is ``inner``, ``left_semi`` or ``left_anti``. The result is that of
+    the plain join. Keys are hashed into a fixed number of groups and the rows
+    of each group counted. A group that would overfill an average shuffle
+    partition is cut into slices: each left row goes to one slice, and the right
+    rows of the group are repeated once per slice. Left rows with a NULL key
+    match nothing and are dealt out over all partitions.
+
+    Rows are dealt to slices by the columns ``apart_by`` and the number of their
+    task, so copies of one row are dealt out too. Both stay the same when a task
+    is rerun, and the counts are exact whatever the task order, so the two sides
+    agree on the slices even if lost executors make Spark repeat work.
 
-    The counts are exact and do not depend on task order, so the two sides
-    agree on the slices even if a lost executor makes Spark count again.
+    Filter ``left`` before the join: a filter on the result does not move past it.
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = partitions * GROUPS_PER_PARTITION
@@ -41,11 +53,11 @@ def spread_join(
 
     slices = F.coalesce(F.col(_SLICES), F.lit(1))
     left_slices = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(slices)
-    # The task number deals rows to slices: it is the same when a task is rerun.
+    dealt = F.xxhash64(F.spark_partition_id(), *apart_by)
     sliced_left = (
         left.withColumn(_GROUP, _group_of(key, groups))
         .join(hot, _GROUP, "left")
-        .withColumn(_SLICE, F.pmod(F.spark_partition_id(), left_slices))
+        .withColumn(_SLICE, F.pmod(dealt, left_slices).cast("int"))
         .drop(_GROUP, _SLICES)
     )
     sliced_right = (
@@ -83,6 +95,8 @@ def _hot_groups(
         .where(F.col("rows") >= min_hot_rows)
         .select(
             _GROUP,
-            F.ceil(F.col("rows") * (2 * partitions) / F.col("total")).cast("int").alias(_SLICES),
+            F.ceil(F.col("rows") * (partitions * SLICES_PER_PARTITION) / F.col("total"))
+            .cast("int")
+            .alias(_SLICES),
         )
     )

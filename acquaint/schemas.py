@@ -64,6 +64,14 @@ FRIEND = T.StructType(
 
 SCHEMAS = {"user": USER, "review": REVIEW, "elite": ELITE, "friend": FRIEND}
 
+# Short columns that tell the rows of a table apart.
+ROW_KEYS = {
+    "user": ("user_id",),
+    "review": ("review_id",),
+    "elite": ("user_id", "year"),
+    "friend": ("user_id", "friend_id"),
+}
+
 # Columns of the short printed form of a user and of a review, in print order,
 # and the longest review text printed in full.
 USER_SUMMARY = (

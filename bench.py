@@ -19,6 +19,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from acquaint.plans.extraction import extract_tables
+from acquaint.session import apply_recommended
 from acquaint.sources import read_parquet_tables
 from workload import registry
 from workload.standins import social_tables
@@ -29,14 +30,13 @@ def session(cpus: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("acquaint-bench")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return apply_recommended(spark)
 
 
 def seconds(run: Callable[[], object]) -> float:

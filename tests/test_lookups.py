@@ -182,7 +182,10 @@ def test_empty_tables(spark):
 # The statements callers send, in plain SQL with bound values.
 STATEMENTS = {
     "SELECT * FROM t_user": ({}, lambda t: t.user),
-    "SELECT * FROM t_user WHERE user_id = :key": ({"key": "a"}, lambda t: t.user.where("user_id = 'a'")),
+    "SELECT * FROM t_user WHERE user_id = :key": (
+        {"key": "a"},
+        lambda t: t.user.where("user_id = 'a'"),
+    ),
     "SELECT * FROM t_user ORDER BY user_id LIMIT :n": (
         {"n": 2},
         lambda t: t.user.orderBy("user_id").limit(2),

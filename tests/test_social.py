@@ -14,7 +14,14 @@ def t(spark):
     return tables(
         spark,
         user=[
-            user("a", "Ann", average_stars=4.5, review_count=40, fans=2, yelping_since=day("2010-05-06")),
+            user(
+                "a",
+                "Ann",
+                average_stars=4.5,
+                review_count=40,
+                fans=2,
+                yelping_since=day("2010-05-06"),
+            ),
             user("b", "Bo"),
             user("b", "Abe"),
             user("c"),

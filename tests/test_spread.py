@@ -38,14 +38,15 @@ def test_same_rows_as_the_plain_join(spark, how, min_hot_rows):
     left, right = hot_left(spark), unique_right(spark)
     plain = left.join(right, "key", how)
     plain = plain.select("key", "value", *(["name"] if how == "inner" else []))
-    spread = spread_join(left, right, "key", how, min_hot_rows)
+    spread = spread_join(left, right, "key", how, ["value"], min_hot_rows)
     assert spread.columns == plain.columns
     assert rows(spread) == rows(plain)
     assert rows(spread)
 
 
+@pytest.mark.parametrize("apart_by", [["value"], []])
 @pytest.mark.parametrize("how", ["inner", "left_anti"])
-def test_hot_key_reaches_many_tasks(spark, how):
+def test_hot_key_reaches_many_tasks(spark, how, apart_by):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -59,7 +60,7 @@ def test_hot_key_reaches_many_tasks(spark, how):
             return joined.where(condition).select(F.spark_partition_id()).distinct().count()
 
         assert tasks_of(left.join(right, "key", how), hot) == 1
-        spread = spread_join(left, right, "key", how, min_hot_rows=1)
+        spread = spread_join(left, right, "key", how, apart_by, min_hot_rows=1)
         assert tasks_of(spread, hot) >= 4
         assert tasks_of(spread, key) >= 4
     finally:
@@ -77,20 +78,24 @@ def test_broadcast_side_is_smaller_than_the_number_of_partitions(spark):
 
 def test_no_hot_groups_on_empty_input(spark):
     left = hot_left(spark).limit(0)
-    assert spread_join(left, unique_right(spark), "key", "inner", 1).count() == 0
-    assert spread_join(hot_left(spark), unique_right(spark).limit(0), "key", "left_anti", 1).count() == 6000
+    right = unique_right(spark)
+    assert spread_join(left, right, "key", "inner", ["value"], 1).count() == 0
+    kept = spread_join(hot_left(spark), right.limit(0), "key", "left_anti", ["value"], 1)
+    assert kept.count() == 6000
 
 
 keys = st.sampled_from(["a", "b", "c", "d", None])
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 @given(left=st.lists(keys, max_size=30), right=st.sets(keys, max_size=5))
 def test_any_small_input(spark, left, right):
     left_rows = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "key string, i int")
     right_rows = spark.createDataFrame([(k,) for k in right], "key string")
     known = {k for k in right if k is not None}
-    kept = rows(spread_join(left_rows, right_rows, "key", "left_semi", 1))
-    dropped = rows(spread_join(left_rows, right_rows, "key", "left_anti", 1))
+    kept = rows(spread_join(left_rows, right_rows, "key", "left_semi", ["i"], 1))
+    dropped = rows(spread_join(left_rows, right_rows, "key", "left_anti", ["i"], 1))
     assert kept == {(k, i): 1 for i, k in enumerate(left) if k in known}
     assert dropped == {(k, i): 1 for i, k in enumerate(left) if k not in known}
