@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from acquaint.plans.extraction import extract_tables
-from acquaint.plans.overview import overview
+from acquaint.plans.overview import database_overview, overview
 from acquaint.session import apply_recommended
 from acquaint.sources import (
     Database,
@@ -41,10 +41,10 @@ def main(arguments: list[str] | None = None) -> None:
         extract_tables(read_database_tables(spark, database, splits), chosen.to, chosen.mode)
         return
     if chosen.tables:
-        tables = read_parquet_tables(spark, chosen.tables)
+        parts = overview(read_parquet_tables(spark, chosen.tables))
     else:
-        tables = read_database_tables(spark, Database.from_environment())
-    for title, rows in overview(tables):
+        parts = database_overview(spark, Database.from_environment())
+    for title, rows in parts:
         print(title)
         rows.show(100, truncate=False)
 

@@ -74,7 +74,7 @@ def dangling_friends(friends: DataFrame, users: DataFrame) -> DataFrame:
     """Links whose friend is not a known user, NULL friends included."""
     known = typed(users, "user").select(F.col("user_id").alias("friend_id")).distinct()
     links = typed(friends, "friend")
-    return spread_join(links, known, "friend_id", "left_anti", ["user_id"]).select("user_id", "friend_id")
+    return spread_join(links, known, "friend_id", "left_anti", ["user_id"])
 
 
 def user_profiles(

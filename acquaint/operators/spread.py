@@ -27,7 +27,7 @@ def spread_join(
     key: str,
     how: str,
     apart_by: Sequence[str],
-    min_hot_rows: int = MIN_HOT_ROWS,
+    min_hot_rows: int | None = None,
 ) -> DataFrame:
     """Join a large ``left`` with a ``right`` that has one row per key.
 
@@ -47,6 +47,7 @@ def spread_join(
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = partitions * GROUPS_PER_PARTITION
+    min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
     # Fewer rows than there are shuffle partitions, whatever the data: each hot
     # group holds more than 1/partitions of the rows.
     hot = F.broadcast(_hot_groups(left, key, groups, partitions, min_hot_rows))
@@ -89,14 +90,13 @@ def _hot_groups(
         F.collect_list(F.struct(_GROUP, "rows")).alias("counted"),
         F.sum("rows").alias("total"),
     )
+    share = F.col("rows") / F.col("total")
     return (
         packed.select("total", F.inline("counted"))
-        .where(F.col("rows") * partitions > F.col("total"))
+        .where(share * partitions > 1)
         .where(F.col("rows") >= min_hot_rows)
         .select(
             _GROUP,
-            F.ceil(F.col("rows") * (partitions * SLICES_PER_PARTITION) / F.col("total"))
-            .cast("int")
-            .alias(_SLICES),
+            F.ceil(share * (partitions * SLICES_PER_PARTITION)).cast("int").alias(_SLICES),
         )
     )

@@ -5,7 +5,9 @@ from acquaint.sources.database import (
     measured_range_split,
     page_split,
     range_split,
+    read_catalog_tables,
     read_database_tables,
+    register_catalog,
 )
 from acquaint.sources.files import read_parquet_tables
 
@@ -16,6 +18,8 @@ __all__ = [
     "measured_range_split",
     "page_split",
     "range_split",
+    "read_catalog_tables",
     "read_database_tables",
     "read_parquet_tables",
+    "register_catalog",
 ]

@@ -24,6 +24,8 @@ from acquaint.tables import SocialTables
 
 ENVIRONMENT_PREFIX = "ACQUAINT_JDBC_"
 
+JDBC_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
+
 DEFAULT_OPTIONS = {
     # Rows per round trip; the PostgreSQL driver otherwise fetches a whole result.
     "fetchsize": "10000",
@@ -99,13 +101,39 @@ def read_table(
     return spark.read.format("jdbc").options(**options, dbtable=database.qualified(table)).load()
 
 
+def read_catalog_tables(spark: SparkSession, *namespace: str) -> SocialTables:
+    """The four tables of a catalog Spark knows, such as one from ``register_catalog``."""
+
+    def load(table: str) -> DataFrame:
+        parts = (*namespace, table)
+        return spark.table(".".join("`" + part.replace("`", "``") + "`" for part in parts))
+
+    return SocialTables(load)
+
+
+def register_catalog(spark: SparkSession, name: str, database: Database) -> None:
+    """Make the database a Spark catalog, so that counts and limits run inside it.
+
+    Read this way a table is scanned by one task: use it for lookups and counts,
+    and ``read_database_tables`` with splits for whole tables.
+    """
+    prefix = f"spark.sql.catalog.{name}"
+    spark.conf.set(prefix, JDBC_CATALOG)
+    for option, value in {**DEFAULT_OPTIONS, **database.options}.items():
+        spark.conf.set(f"{prefix}.{option}", value)
+
+
 def first_rows(spark: SparkSession, database: Database, table: str, n: int) -> DataFrame:
     """Any ``n`` typed rows, with the limit inside the database's own query."""
     schema_of(table)
+    return typed(first_stored_rows(spark, database, table, n), table)
+
+
+def first_stored_rows(spark: SparkSession, database: Database, table: str, n: int) -> DataFrame:
+    """Any ``n`` rows of any table of the database, as stored."""
     if n < 0:
         raise ValueError(f"cannot read {n} rows")
-    rows = _query(spark, database, f"SELECT * FROM {database.qualified(table)} LIMIT {int(n)}")
-    return typed(rows, table)
+    return _query(spark, database, f"SELECT * FROM {database.qualified(table)} LIMIT {int(n)}")
 
 
 def list_tables(spark: SparkSession, database: Database) -> DataFrame:
@@ -169,7 +197,9 @@ def measured_range_split(
     return range_split(column, bounds["lower_bound"], bounds["upper_bound"], parts)
 
 
-def hash_split(columns: Sequence[str], parts: int, hash_expression: str = "hashtext({key})") -> Split:
+def hash_split(
+    columns: Sequence[str], parts: int, hash_expression: str = "hashtext({key})"
+) -> Split:
     """Rows dealt out by a hash of key columns, in any database with ``concat_ws``.
 
     ``hash_expression`` is the database's integer hash of the text ``{key}``; the

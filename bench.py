@@ -1,7 +1,7 @@
 """Time every query and print one JSON line.
 
-Each query runs twice into a sink that reads every row and keeps none; the
-second run counts. ``queries`` are timed on tables derived on the fly from
+All queries run twice into a sink that reads every row and keeps none; the
+second round counts. ``queries`` are timed on tables derived on the fly from
 ``BENCH_SF_DIR``, as the checks run them. ``stored_queries`` are the same
 queries on the tables after ``extract`` has written them as Parquet.
 """
@@ -51,8 +51,9 @@ def drain(frame: DataFrame) -> None:
 
 def timed(queries: dict[str, Callable[[], DataFrame]]) -> dict[str, float]:
     times = {}
-    for name, query in queries.items():
+    for query in queries.values():
         drain(query())
+    for name, query in queries.items():
         times[name] = seconds(lambda query=query: drain(query()))
         print(f"{name} {times[name]}", file=sys.stderr)
     return times

@@ -9,7 +9,9 @@ from types import SimpleNamespace
 import duckdb
 import pytest
 
+from acquaint.plans.overview import database_overview
 from acquaint.sources import database as db
+from tests.helpers import elite, friend, review, tables, user
 
 
 class Reader:
@@ -119,6 +121,88 @@ def test_limit_is_part_of_the_query(spark):
     assert fake.read.calls[0]["query"] == 'SELECT * FROM "social"."elite" LIMIT 5'
 
 
+def test_catalog_options(spark):
+    db.register_catalog(spark, "far", HOME)
+    try:
+        assert spark.conf.get("spark.sql.catalog.far").endswith(".JDBCTableCatalog")
+        assert spark.conf.get("spark.sql.catalog.far.url") == "jdbc:postgresql://host/base"
+        assert spark.conf.get("spark.sql.catalog.far.user") == "me"
+    finally:
+        for option in ("", ".url", ".user", ".fetchsize", ".preferTimestampNTZ"):
+            spark.conf.unset(f"spark.sql.catalog.far{option}")
+
+
+def test_catalog_names_are_quoted():
+    asked = []
+    fake = SimpleNamespace(table=asked.append)
+    assert db.read_catalog_tables(fake, "far", "so`cial").user is None
+    assert asked == ["`far`.`so``cial`.`user`"]
+
+
+def test_tables_of_a_catalog(spark):
+    stored = tables(spark, user=[user("a", "Ann")], friend=[friend("a", "b")])
+    stored.create_views()
+    found = db.read_catalog_tables(spark)
+    assert found.user_by_id("a").first()["name"] == "Ann"
+    assert found.count_friends("a").first()["count"] == 1
+
+
+class Base:
+    """Answers queries from prepared tables, as the database would."""
+
+    def __init__(self, stored, spark):
+        self.stored, self.spark, self.asked = stored, spark, []
+        self.read = self
+
+    def format(self, name):
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        options = self.asked[-1]
+        if "information_schema.tables" in options.get("query", ""):
+            return self.spark.sql("SELECT 'social' AS table_schema, 'user' AS table_name")
+        if "information_schema.columns" in options.get("query", ""):
+            return self.spark.sql(
+                "SELECT 'social' AS table_schema, 'user' AS table_name, 1 AS position,"
+                " 'user_id' AS column_name, 'text' AS data_type, 9 AS column_size,"
+                " 'YES' AS is_nullable"
+            )
+        wanted = options.get("query", options.get("dbtable"))
+        table = re.search(r'"social"\."(\w+)"', wanted).group(1)
+        limit = re.search(r"LIMIT (\d+)", wanted)
+        frame = self.stored.stored(table)
+        return frame.limit(int(limit.group(1))) if limit else frame
+
+
+def test_overview_of_a_database(spark):
+    stored = tables(
+        spark,
+        user=[user("a", "Ann")],
+        review=[review("r1", "a", "hello")],
+        friend=[friend("a", "b")],
+        elite=[elite("a", 2001)],
+    )
+    base = Base(stored, spark)
+    shown = {title: frame.collect() for title, frame in database_overview(base, HOME)}
+    assert shown["Tables"][0]["table_name"] == "user"
+    assert shown["Columns of user"][0]["column_name"] == "user_id"
+    assert shown["Columns of elite"] == []
+    assert shown["Profile of the first user"][0]["first_review_text"] == "hello"
+    assert [r["value"] for r in shown["A row of elite"]] == ["a", "2001"]
+    # Whole tables are named only where the profile's key filter follows.
+    assert sum("dbtable" in asked for asked in base.asked) == 4
+
+
+def test_overview_of_an_empty_database(spark):
+    shown = dict(database_overview(Base(tables(spark), spark), HOME))
+    assert "Profile of the first user" not in shown
+    assert shown["A row of user"].count() == 0
+
+
 def test_bad_first_rows_raise():
     with pytest.raises(ValueError):
         db.first_rows(session(), HOME, "elite", -1)

@@ -8,8 +8,18 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from acquaint.operators import spread
 from tests.helpers import by_column
 
+# Types as the two engines name them.
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "VARCHAR": "string",
+}
+
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
@@ -32,12 +42,34 @@ def test_query_matches_sql(name, spark, sf_dir, other_engine):
     result = QUERIES[name](spark, sf_dir)
     expected = other_engine.execute(SQL[name])
     columns = [column[0] for column in expected.description]
-    assert sorted(result.columns) == sorted(columns)
+    types = {column[0]: SPARK_TYPES[str(column[1])] for column in expected.description}
+    assert dict(result.dtypes) == types
     got = by_column(result.columns, result.collect())
     assert got
     assert got == by_column(columns, expected.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "users_for_keys",
+        "reviews_for_keys",
+        "elites_for_keys",
+        "friends_for_keys",
+        "friends_with_names",
+        "friend_names_all",
+        "dangling_friends",
+    ],
+)
+def test_query_matches_sql_with_every_group_cut(name, spark, sf_dir, other_engine, monkeypatch):
+    monkeypatch.setattr(spread, "MIN_HOT_ROWS", 1)
+    monkeypatch.setattr(spread, "GROUPS_PER_PARTITION", 1)
+    result = QUERIES[name](spark, sf_dir)
+    expected = other_engine.execute(SQL[name])
+    columns = [column[0] for column in expected.description]
+    assert by_column(result.columns, result.collect()) == by_column(columns, expected.fetchall())
+
+
 def test_entry_is_the_flagship(spark):
     result = entry.entry(spark)
     assert result.columns[:2] == ["user_id", "name"]

@@ -247,7 +247,7 @@ def _column_profile() -> str:
                 f"SELECT '{_TABLE_NAMES[view]}' AS table_name, {position} AS position, "
                 f"'{column}' AS column_name, '{data_type}' AS data_type, "
                 f"count(*) - count({column}) AS null_count, "
-                f"max(length(CAST({column} AS VARCHAR))) AS longest_text FROM {view}"
+                f"CAST(max(length(CAST({column} AS VARCHAR))) AS INTEGER) AS longest_text FROM {view}"
             )
     return _on_all("\nUNION ALL ".join(rows))
 
