@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Columns and types of each table, in stored order.
 USER = T.StructType(
     [
         T.StructField("average_stars", T.DoubleType()),
@@ -72,8 +73,8 @@ ROW_KEYS = {
     "friend": ("user_id", "friend_id"),
 }
 
-# Columns of the short printed form of a user and of a review, in print order,
-# and the longest review text printed in full.
+# Columns of the short form of a user and of a review, in order,
+# and the longest review text shown in full.
 USER_SUMMARY = (
     "user_id",
     "name",

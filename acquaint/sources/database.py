@@ -173,7 +173,7 @@ def range_split(column: str, lower: int, upper: int, parts: int) -> Split:
     """Equal ranges of a numeric column. Rows outside the bounds or NULL are read too."""
     return Split(
         options={
-            "partitionColumn": quoted(column),
+            "partitionColumn": column,  # Spark quotes it.
             "lowerBound": str(lower),
             "upperBound": str(upper),
             "numPartitions": str(parts),

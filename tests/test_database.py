@@ -91,7 +91,7 @@ def test_read_by_range():
     spark = session()
     db.read_table(spark, HOME, "review", db.range_split("spark_partition", 0, 64, 16))
     asked = spark.read.calls[0]
-    assert asked["partitionColumn"] == '"spark_partition"'
+    assert asked["partitionColumn"] == "spark_partition"
     assert (asked["lowerBound"], asked["upperBound"], asked["numPartitions"]) == ("0", "64", "16")
 
 
