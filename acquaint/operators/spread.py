@@ -40,8 +40,9 @@ def spread_join(
 
     Rows are dealt to slices by the columns ``apart_by`` and the number of their
     task, so copies of one row are dealt out too. Both stay the same when a task
-    is rerun, and the counts are exact whatever the task order, so the two sides
-    agree on the slices even if lost executors make Spark repeat work.
+    is rerun. Spark counts the groups once and broadcasts them to both sides;
+    the counts are exact whatever the task order, so the sides agree on the
+    slices even if lost executors make Spark repeat work.
 
     Filter ``left`` before the join: a filter on the result does not move past it.
     """

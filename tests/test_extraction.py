@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -57,6 +58,16 @@ def test_written_types(spark, extracted):
             assert types[field.name] == field.dataType.simpleString()
 
 
+def test_ids_carry_bloom_filters(extracted):
+    # Parquet leaves the filter out where a dictionary already lists the values.
+    filters = duckdb.sql(
+        "SELECT count(*), count(bloom_filter_offset)"
+        f" FROM parquet_metadata('{extracted}/review/*/*.parquet')"
+        " WHERE path_in_schema = 'review_id'"
+    ).fetchall()[0]
+    assert filters[0] == filters[1] > 0
+
+
 def test_year_reads_only_its_folder(spark, extracted):
     written = read_parquet_tables(spark, extracted)
     plan = plan_of(written.elites_in(1998))

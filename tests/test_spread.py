@@ -7,8 +7,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from acquaint.operators import spread
 from acquaint.operators.spread import spread_join
 from tests.helpers import rows
+from tests.plans import plan_of
 
 PARTITIONS = 8
 
@@ -38,10 +40,10 @@ def test_same_rows_as_the_plain_join(spark, how, min_hot_rows):
     left, right = hot_left(spark), unique_right(spark)
     plain = left.join(right, "key", how)
     plain = plain.select("key", "value", *(["name"] if how == "inner" else []))
-    spread = spread_join(left, right, "key", how, ["value"], min_hot_rows)
-    assert spread.columns == plain.columns
-    assert rows(spread) == rows(plain)
-    assert rows(spread)
+    joined = spread_join(left, right, "key", how, ["value"], min_hot_rows)
+    assert joined.columns == plain.columns
+    assert rows(joined) == rows(plain)
+    assert rows(joined)
 
 
 @pytest.mark.parametrize("apart_by", [["value"], []])
@@ -60,22 +62,31 @@ def test_hot_key_reaches_many_tasks(spark, how, apart_by):
             return joined.where(condition).select(F.spark_partition_id()).distinct().count()
 
         assert tasks_of(left.join(right, "key", how), hot) == 1
-        spread = spread_join(left, right, "key", how, apart_by, min_hot_rows=1)
-        assert tasks_of(spread, hot) >= 4
-        assert tasks_of(spread, key) >= 4
+        joined = spread_join(left, right, "key", how, apart_by, min_hot_rows=1)
+        assert tasks_of(joined, hot) >= 4
+        assert tasks_of(joined, key) >= 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_broadcast_side_is_smaller_than_the_number_of_partitions(spark):
-    from acquaint.operators.spread import GROUPS_PER_PARTITION, _hot_groups
-
-    groups = PARTITIONS * GROUPS_PER_PARTITION
-    hot = _hot_groups(hot_left(spark), "key", groups, PARTITIONS, 1)
+    groups = PARTITIONS * spread.GROUPS_PER_PARTITION
+    hot = spread._hot_groups(hot_left(spark), "key", groups, PARTITIONS, 1)
     assert 1 <= hot.count() < PARTITIONS
 
 
+def test_groups_are_counted_once_for_both_sides(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spread_join(hot_left(spark), unique_right(spark), "key", "inner", ["value"], 1)
+        plan = plan_of(joined)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("inline(") == 1
+    assert "ReusedExchange" in plan
+
+
 def test_no_hot_groups_on_empty_input(spark):
     left = hot_left(spark).limit(0)
     right = unique_right(spark)
