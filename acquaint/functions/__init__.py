@@ -1,4 +1,4 @@
-from acquaint.functions.columns import as_text, equals_key, named, shorten
+from acquaint.functions.columns import equals_key, name_sql, shorten, text_sql
 from acquaint.functions.typed import cast_fields, typed
 
-__all__ = ["as_text", "cast_fields", "equals_key", "named", "shorten", "typed"]
+__all__ = ["cast_fields", "equals_key", "name_sql", "shorten", "text_sql", "typed"]

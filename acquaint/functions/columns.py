@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from acquaint.schemas import SUMMARY_TEXT_LENGTH
 
 
-def named(column: str) -> Column:
-    """A column by its exact name, dots and backticks included."""
-    return F.col("`" + column.replace("`", "``") + "`")
+def name_sql(column: str) -> str:
+    """A column's exact name in a Spark SQL expression, dots and backticks included."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def text_sql(value: str) -> str:
+    """A text constant in a Spark SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def equals_key(column: str, key: object) -> Column:
@@ -23,8 +28,3 @@ def shorten(text: Column, length: int = SUMMARY_TEXT_LENGTH) -> Column:
     return F.when(
         F.length(text) > length, F.concat(F.substring(text, 1, length), F.lit("..."))
     ).otherwise(text)
-
-
-def as_text(column: Column) -> Column:
-    """Any column as text, NULL kept."""
-    return column.cast("string")

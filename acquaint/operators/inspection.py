@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.functions import as_text, named
+from acquaint.functions import name_sql, text_sql
 
 
 def table_inventory(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
@@ -36,45 +36,37 @@ def profile_columns(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
 
 def _profile(table: str, frame: DataFrame) -> DataFrame:
     measured = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(name).alias("column_name"),
-            F.lit(data_type).alias("data_type"),
-            (F.count(F.lit(1)) - F.count(named(name))).alias("null_count"),
-            _longest_text(name, data_type).alias("longest_text"),
-        )
+        f"named_struct('position', {position}, 'column_name', {text_sql(name)},"
+        f" 'data_type', {text_sql(data_type)},"
+        f" 'null_count', count(*) - count({name_sql(name)}),"
+        f" 'longest_text', {_longest_text(name_sql(name), data_type)})"
         for position, (name, data_type) in enumerate(frame.dtypes, start=1)
     ]
-    return frame.agg(F.array(*measured).alias("measured")).select(
+    return frame.selectExpr(f"array({', '.join(measured)}) AS measured").select(
         F.lit(table).alias("table_name"), F.inline("measured")
     )
 
 
-def _longest_text(name: str, data_type: str) -> Column:
+def _longest_text(column: str, data_type: str) -> str:
     """Length of the longest value as text.
 
     Among whole numbers that is the smallest or the largest one, so they are
     compared as numbers and only those two are turned into text.
     """
-    column = named(name)
     if data_type in ("tinyint", "smallint", "int", "bigint"):
-        ends = (F.min(column), F.max(column))
-        return F.greatest(*[F.length(as_text(end)) for end in ends])
-    return F.max(F.length(as_text(column)))
+        return f"greatest(length(string(min({column}))), length(string(max({column}))))"
+    return f"max(length(string({column})))"
 
 
 def first_row(frame: DataFrame, *order_by: str) -> DataFrame:
     """One stored row as position, column name and value; no rows if empty.
 
-    Values are as stored (NULL stays NULL). Without an order it is any row.
+    Values are as stored, as text (NULL stays NULL). Without an order it is any row.
     """
     row = (frame.orderBy(*order_by) if order_by else frame).limit(1)
     fields = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(name).alias("column_name"),
-            as_text(named(name)).alias("value"),
-        )
+        f"named_struct('position', {position}, 'column_name', {text_sql(name)},"
+        f" 'value', string({name_sql(name)}))"
         for position, name in enumerate(frame.columns, start=1)
     ]
-    return row.select(F.inline(F.array(*fields)))
+    return row.selectExpr(f"inline(array({', '.join(fields)}))")

@@ -94,6 +94,15 @@ def test_odd_column_names(spark):
     assert inspection.profile_columns([("odd", odd)]).count() == 2
 
 
+@pytest.mark.parametrize("name", ["it's", "a`b", "back\\slash", "', 'x", 'q"q', "{x}", "é 😀"])
+def test_any_column_name(spark, name):
+    odd = spark.createDataFrame([(7,)], ["plain"]).toDF(name)
+    assert rows(inspection.first_row(odd)) == {(1, name, "7"): 1}
+    assert rows(inspection.profile_columns([(name, odd)])) == {
+        (name, 1, name, "bigint", 0, 1): 1
+    }
+
+
 def test_overview_shows_every_part(spark):
     t = tables(
         spark,
