@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from acquaint.llm import language, quality, sharding, topk
 from acquaint.llm.packing import pack_documents
+from acquaint.llm.shared import held_out
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,13 +32,62 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path(TOKENIZER))
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    documents = table(spark, sf_dir, "documents")
+    kept_out = held_out(F.col("doc_id"))
+    return language.identify(
+        documents, language.learned_texts(documents, ~kept_out), kept_out
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    kept_out = held_out(F.col("doc_id"))
+    rows = quality.learning_rows(documents, labels, ~kept_out, quality.Learning())
+    return quality.score_documents(documents, quality.fit(*rows), kept_out)
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near-equal bytes."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every vector whose id is divisible by 20."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
+    "op3_quality": op3_quality,
+    "op6_sharding": op6_sharding,
     "op8_packing": op8_packing,
+    "op10_topk": op10_topk,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
