@@ -6,9 +6,11 @@ two partial partitions with the largest spread (most minus least) are combined,
 again and again: the fullest part of one joins the emptiest of the other.
 
 This runs in three levels. Groups are hashed into cells; in a cell, chunks of
-groups are combined into one partial partition each, these into one for the
-cell; and the cells' partial partitions, one row of shard sizes each, are
-combined on the driver. Their number is set by ``cells``, not by the data.
+groups are combined into one partial partition each, and these into one for the
+cell. It has more parts than there are shards, small enough to level out what
+very large groups leave uneven; the driver combines the parts of all cells. Their
+number, at most ``MOST_CELLS`` times the parts of a cell, is set by the
+configuration and not by the data.
 """
 
 from __future__ import annotations
@@ -27,7 +29,12 @@ from acquaint.llm.shared import group_starts, parts, written
 ROW_BYTES = 8
 
 #: Groups that are combined at once in a task.
-CHUNK_GROUPS = 50_000
+CHUNK_GROUPS = 10_000
+
+MOST_CELLS = 4096
+
+#: Parts of all cells for each shard, at least.
+PARTS_PER_SHARD = 256
 
 _GROUP = ["text_hash", "text_hash_2", "text_bytes"]
 
@@ -44,7 +51,8 @@ def shard_documents(documents: DataFrame, shards: int = 24, cells: int | None =
     larger.
     """
     spark = documents.sparkSession
-    cells = cells or parts(spark)
+    cells = cells or min(MOST_CELLS, parts(spark))
+    cell_parts = -(-PARTS_PER_SHARD // cells) * shards
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = written(
         documents.select(
@@ -61,20 +69,20 @@ def shard_documents(documents: DataFrame, shards: int = 24, cells: int | None =
         "sized",
     )
     groups = rows.groupBy(*_GROUP).agg(F.sum("size").alias("bytes"))
-    placed = written(_cell_parts(groups, shards, cells), "placed")
+    placed = written(_cell_parts(groups, cell_parts, cells), "placed")
     sums = (
         placed.groupBy("cell", "part").agg(F.sum("bytes").alias("bytes")).collect()
-    )  # at most cells * shards rows
-    shard_of = _combined_cells([tuple(r) for r in sums], shards)
+    )  # at most cells * cell_parts rows
+    shard_of = _combined_parts(sorted(tuple(r) for r in sums), shards)
     numbers = spark.createDataFrame(shard_of, "cell int, part int, shard int")
-    # At most cells * shards rows, set by the configuration.
+    # At most cells * cell_parts rows, set by the configuration.
     sharded = rows.join(
         placed.join(F.broadcast(numbers), ["cell", "part"]).select(*_GROUP, "shard"), _GROUP
     ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text_hash_2"), F.lit(cells)).cast("int"))
     return _numbered(sharded, cells)
 
 
-def _cell_parts(groups: DataFrame, shards: int, cells: int) -> DataFrame:
+def _cell_parts(groups: DataFrame, cell_parts: int, cells: int) -> DataFrame:
     """The part, from 0, of each group within its cell."""
     rows = groups.withColumn("cell", F.pmod(F.xxhash64("text_hash"), F.lit(cells)).cast("int"))
     names = [*_GROUP, "bytes", "cell"]
@@ -104,7 +112,7 @@ def _cell_parts(groups: DataFrame, shards: int, cells: int) -> DataFrame:
                 cell = here
                 for at in range(first, last, CHUNK_GROUPS):
                     chunk = table.slice(at, min(CHUNK_GROUPS, last - at))
-                    held.append((chunk, difference(chunk.column("bytes").to_numpy(), shards)))
+                    held.append((chunk, difference(chunk.column("bytes").to_numpy(), cell_parts)))
         if held:
             yield from finished()
 
@@ -128,12 +136,9 @@ class Partial:
 
 def difference(sizes: np.ndarray, shards: int) -> Partial:
     """Combine single items into one partial partition."""
-    items = []
-    for size in sizes.tolist():
-        sums = np.zeros(shards, np.int64)
-        sums[0] = size
-        items.append(sums)
-    sums, labels = _combined(items, shards)
+    items = np.zeros((len(sizes), shards), np.int64)
+    items[:, 0] = sizes
+    sums, labels = _combined(list(items), shards)
     return Partial(sums, labels[:, 0])
 
 
@@ -175,24 +180,14 @@ def _combined(items: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndar
     return sums[-1], labels[: len(items)]
 
 
-def _combined_cells(
+def _combined_parts(
     sums: list[tuple[int, int, int]], shards: int
 ) -> list[tuple[int, int, int]]:
-    """cell, part, shard for each cell and part."""
-    cells = sorted({cell for cell, _, _ in sums})
-    if not cells:
+    """cell, part and shard of each part of a cell, given cell, part and bytes."""
+    if not sums:
         return []
-    at = {cell: i for i, cell in enumerate(cells)}
-    table = np.zeros((len(cells), shards), np.int64)
-    for cell, part, size in sums:
-        table[at[cell], part] = size
-    order = np.argsort(-table, axis=1, kind="stable")
-    _, labels = _combined(list(np.take_along_axis(table, order, 1)), shards)
-    return [
-        (cell, int(order[i, place]), int(labels[i, place]))
-        for i, cell in enumerate(cells)
-        for place in range(shards)
-    ]
+    shard = difference(np.array([size for _, _, size in sums]), shards).parts
+    return [(cell, part, int(at)) for (cell, part, _), at in zip(sums, shard)]
 
 
 def _numbered(sharded: DataFrame, cells: int) -> DataFrame:
