@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acquaint.llm import language, quality, sharding, topk
+from acquaint.llm import language, minhash, quality, repeats, sharding, topk
 from acquaint.llm.packing import pack_documents
 from acquaint.llm.shared import held_out
 
@@ -49,11 +49,22 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents, quality.fit(*rows), kept_out)
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, by 4-word shingles at 0.8."""
+    near = minhash.Similarity(words=4, percent=80)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), near)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near-equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that start earlier."""
+    return repeats.removal(table(spark, sf_dir, "documents")).drop("version", "kept")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -67,7 +78,9 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op3_quality": op3_quality,
+    "op5_minhash": op5_minhash,
     "op6_sharding": op6_sharding,
+    "op7_repeats": op7_repeats,
     "op8_packing": op8_packing,
     "op10_topk": op10_topk,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one step of a vectorised operator holds at once.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 3_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
