@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acquaint.llm import language, minhash, quality, repeats, sharding, topk
+from acquaint.llm import language, merkle, minhash, mixing, quality, repeats, sharding, topk, warc
 from acquaint.llm.packing import pack_documents
 from acquaint.llm.shared import held_out
 
@@ -41,6 +41,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text."""
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -49,6 +54,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents, quality.fit(*rows), kept_out)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed so that no source repeats more than twice."""
+    target = mixing.Target(repetitions=2.0)
+    return mixing.mixture(table(spark, sf_dir, "documents"), target)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, by 4-word shingles at 0.8."""
     near = minhash.Similarity(words=4, percent=80)
@@ -70,6 +81,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, read back from WARC archives."""
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every vector whose id is divisible by 20."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
@@ -77,15 +93,34 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_fingerprints": op2_fingerprints,
     "op3_quality": op3_quality,
+    "op4_mixing": op4_mixing,
     "op5_minhash": op5_minhash,
     "op6_sharding": op6_sharding,
     "op7_repeats": op7_repeats,
     "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
     "op10_topk": op10_topk,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload,
+                   CAST(octet_length(CAST(encode(coalesce(html, '')) AS BLOB)) AS BIGINT) AS payload_bytes
+            FROM pages
+        ), grouped AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads
+        ), typed AS (
+            SELECT *, payload_bytes >= 100 AND first IS NOT NULL
+                      AND page_id IS DISTINCT FROM first AS again FROM grouped
+        )
+        SELECT page_id, payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to
+        FROM typed
+    """,
     "op10_topk": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
