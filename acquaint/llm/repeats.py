@@ -66,16 +66,50 @@ def removal(documents: DataFrame) -> DataFrame:
     return _cut(rows, spans)
 
 
-def keyed(documents: DataFrame) -> DataFrame:
+def shortened_documents(documents: DataFrame) -> DataFrame:
+    """The documents, with all their columns, without repeated passages.
+
+    ``text`` and ``n_chars`` are those of what is left, without characters of
+    which only some bytes are left. Documents of which nothing is left go; those
+    that were empty stay, a null text as null.
+    """
+    rows = keyed(documents, *[c for c in documents.columns if c not in ("doc_id", "text")])
+    spans = _gathered(repeated_spans(rows.select("id", "version", "text")))
+    # Only documents with spans pass through Python.
+    joined = rows.join(spans, ["id", "version"], "left")
+    schema = joined.schema
+
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for at, spans in enumerate(batch.column("spans").to_pylist()):
+                if spans:
+                    kept, _ = _without(texts[at].encode(), spans)
+                    texts[at] = kept.decode("utf-8", "ignore") or None
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["text"] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    cut = joined.where(F.col("spans").isNotNull()).mapInArrow(shortened, schema)
+    whole = joined.where(F.col("spans").isNull()).unionByName(cut.where(F.col("text").isNotNull()))
+    values = {
+        "doc_id": F.when(F.col("id") != NULL_ID, F.col("id")).cast(documents.schema["doc_id"].dataType),
+        "n_chars": F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text")),
+    }
+    values["n_chars"] = values["n_chars"].cast(documents.schema["n_chars"].dataType)
+    return whole.select(*[values.get(c, F.col(c)).alias(c) for c in documents.columns])
+
+
+def keyed(documents: DataFrame, *others: str) -> DataFrame:
     """id, version and text: ids without nulls, versions of rows that share one."""
     given = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text", *others
     )
     several = given.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     if several.isEmpty():
-        return given.select("id", F.lit(0).alias("version"), "text")
-    version = Window.partitionBy("id").orderBy(F.xxhash64("text"), "text")
-    return given.select("id", (F.row_number().over(version) - 1).alias("version"), "text")
+        return given.select("id", F.lit(0).alias("version"), "text", *others)
+    version = Window.partitionBy("id").orderBy(F.xxhash64("text"), "text", *others)
+    return given.select("id", (F.row_number().over(version) - 1).alias("version"), "text", *others)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -437,12 +471,28 @@ def _by_window(stretches_: DataFrame) -> DataFrame:
     )
 
 
-def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """What stays of each document; its spans are gathered, at most its length."""
-    gathered = spans.groupBy("id", "version").agg(
+def _gathered(spans: DataFrame) -> DataFrame:
+    """Spans of each document, in order: at most its length."""
+    return spans.groupBy("id", "version").agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
     )
-    joined = _compressed(rows).join(gathered, ["id", "version"], "left")
+
+
+def _without(text: bytes, spans: list[dict]) -> tuple[bytes, int]:
+    """The text without its spans, and the number of maximal runs removed."""
+    merged: list[list[int]] = []
+    for span in spans:
+        if merged and span["start"] <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], span["end"])
+        else:
+            merged.append([span["start"], span["end"]])
+    edges = [0, *(x for pair in merged for x in pair), len(text)]
+    return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), len(merged)
+
+
+def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """What stays of each document."""
+    joined = _compressed(rows).join(_gathered(spans), ["id", "version"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -464,17 +514,10 @@ def _kept_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, *(batch.column(c).to_pylist() for c in ("packed", "n_bytes", "spans"))
     ):
         text = pa.decompress(packed, size, "zstd", asbytes=True)
-        merged: list[list[int]] = []
-        for span in spans or ():
-            if merged and span["start"] <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], span["end"])
-            else:
-                merged.append([span["start"], span["end"]])
-        edges = [0, *(x for pair in merged for x in pair), size]
-        kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        kept, removed = _without(text, spans or [])
         digest = hashlib.sha256(kept).hexdigest()
         id_ = None if id_ == NULL_ID else id_
-        out.append((id_, size, size - len(kept), len(merged), digest, kept))
+        out.append((id_, size, size - len(kept), removed, digest, kept))
     columns = list(zip(*out)) or [()] * 6
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
     found = [pa.array(c, k) for c, k in zip(columns, kinds)]
