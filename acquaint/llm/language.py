@@ -159,11 +159,15 @@ class CrossParser:
             at = np.repeat(np.arange(len(to)), [len(x) for x in to])
             by = np.fromiter((s for x in to for s in x), np.int64, len(at))
             then = np.fromiter((t for x in to for t in x.values()), np.int64, len(at))
-            # Where no match goes on, a phrase ends (the low bit) and the next begins.
-            root = np.ones(self._width, np.int64) + 2 * states * self._width
-            root[by[at == 0]] = 2 * (then[at == 0] + states) * self._width + 1
-            table = np.repeat(root[None, :], len(to), axis=0)
-            table[at, by] = 2 * (then + states) * self._width
+            # The next state and, in the two low bits, the phrases that end. Where no
+            # match goes on, one ends and the next begins; a symbol that is in no
+            # match is a phrase of its own, after which nothing has begun.
+            begun = at == 0
+            fresh = np.full(self._width, 4 * states * self._width + 2)
+            fresh[by[begun]] = 4 * (then[begun] + states) * self._width + 1
+            table = np.repeat(fresh[None, :], len(to), axis=0)
+            table[0] = 4 * states * self._width + 1
+            table[at, by] = 4 * (then + states) * self._width
             tables.append(table)
             bits.append(np.log2(max(2, len(symbols))))
             self._starts = getattr(self, "_starts", []) + [states * self._width]
@@ -205,10 +209,11 @@ class CrossParser:
             now = state[:, :n]
             now += symbol[begin[:n] + step]
             now[...] = self._table[now]
-            count[:, :n] += now & 1
-            now >>= 1
+            count[:, :n] += now & 3
+            now >>= 2
+        count += state != np.array(self._starts, np.int32)[:, None]
         found = np.stack(
-            [np.bincount(text_of, weights=c + 1, minlength=len(texts)) for c in count]
+            [np.bincount(text_of, weights=c, minlength=len(texts)) for c in count]
         )
         return found, symbols, letters
 

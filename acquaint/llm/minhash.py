@@ -375,7 +375,7 @@ def _partners(most_unlike: int):
             for first, last in zip(starts, starts[1:]):
                 split = first + int(np.count_nonzero(~column["asks"][first:last]))
                 base = slice(first, split)
-                for at in range(split, last, 256):
+                for at in range(split, last if split > first else split, 256):
                     ask = slice(at, min(at + 256, last))
                     unlike = differing(words[ask], words[base])
                     far = (unlike > most_unlike) | (

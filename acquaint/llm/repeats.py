@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acquaint.llm.minhash import mixed
@@ -73,7 +73,8 @@ def shortened_documents(documents: DataFrame) -> DataFrame:
     which only some bytes are left. Documents of which nothing is left go; those
     that were empty stay, a null text as null.
     """
-    rows = keyed(documents, *[c for c in documents.columns if c not in ("doc_id", "text")])
+    others = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"])
+    rows = keyed(documents, others.alias("others"))
     spans = _gathered(repeated_spans(rows.select("id", "version", "text")))
     # Only documents with spans pass through Python.
     joined = rows.join(spans, ["id", "version"], "left")
@@ -92,24 +93,23 @@ def shortened_documents(documents: DataFrame) -> DataFrame:
 
     cut = joined.where(F.col("spans").isNotNull()).mapInArrow(shortened, schema)
     whole = joined.where(F.col("spans").isNull()).unionByName(cut.where(F.col("text").isNotNull()))
-    values = {
-        "doc_id": F.when(F.col("id") != NULL_ID, F.col("id")).cast(documents.schema["doc_id"].dataType),
-        "n_chars": F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text")),
-    }
-    values["n_chars"] = values["n_chars"].cast(documents.schema["n_chars"].dataType)
-    return whole.select(*[values.get(c, F.col(c)).alias(c) for c in documents.columns])
+    length = F.when(F.col("spans").isNull(), F.col("others.n_chars")).otherwise(F.length("text"))
+    values = {"text": F.col("text"), "n_chars": length.cast(documents.schema["n_chars"].dataType)}
+    return whole.select(
+        *[values.get(c, F.col(f"others.`{c}`")).alias(c) for c in documents.columns]
+    )
 
 
-def keyed(documents: DataFrame, *others: str) -> DataFrame:
+def keyed(documents: DataFrame, *others: Column) -> DataFrame:
     """id, version and text: ids without nulls, versions of rows that share one."""
     given = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text", *others
     )
     several = given.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     if several.isEmpty():
-        return given.select("id", F.lit(0).alias("version"), "text", *others)
-    version = Window.partitionBy("id").orderBy(F.xxhash64("text"), "text", *others)
-    return given.select("id", (F.row_number().over(version) - 1).alias("version"), "text", *others)
+        return given.withColumn("version", F.lit(0))
+    version = Window.partitionBy("id").orderBy(F.xxhash64("text"), "text")
+    return given.withColumn("version", F.row_number().over(version) - 1)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:

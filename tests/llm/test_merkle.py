@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from acquaint.llm import merkle
+from tests.llm.data import documents, hard_rows, prose
+
+
+def check(spark, rows):
+    found = merkle.fingerprints(documents(spark, rows)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    by_id = {r.doc_id: r for r in found}
+    assert len(found) == len(rows)
+    for at, (doc_id, text, *_) in enumerate(order):
+        text, after = text or "", order[(at + 1) % len(order)][1] or ""
+        n = len(text) // 3
+        changed = text[: len(text) - n] + after[:n]
+        row = by_id[doc_id]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert row.fingerprint == merkle.tree(text.encode()).root
+        assert row.edited_fingerprint == merkle.tree(changed.encode()).root
+        assert row.near_next == merkle.likeness(merkle.tree(text.encode()), merkle.tree(after.encode()))
+        assert 0 <= row.near_edited <= 1
+        assert (row.edit_starts is None) == (changed == text)
+
+
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_every_document_meets_the_next(spark, monkeypatch, ranges):
+    monkeypatch.setattr(merkle, "RANGES_PER_PARTITION", ranges)
+    draw = random.Random(ranges)
+    ids = draw.sample(range(-(10**6), 10**12), 150)
+    check(spark, [(i, prose(n, n)) for n, i in enumerate(ids)] + [(None, "null id")])
+
+
+def test_few_rows(spark):
+    check(spark, [(1, "alone e s x")])
+    check(spark, [(1, None), (2, "")])
+    assert merkle.fingerprints(documents(spark, [])).collect() == []
+
+
+def test_hard_rows(spark):
+    """Rows that share an id follow in the order of a hash, so any is allowed."""
+    rows = hard_rows()
+    found = merkle.fingerprints(documents(spark, rows)).collect()
+    texts = {t or "" for _, t, *_ in rows}
+    assert len(found) == len(rows)
+    roots = {merkle.tree(t.encode()).root: t for t in texts}
+    assert len(roots) == len(texts)
+    for r in found:
+        text = roots[r.fingerprint]
+        digests = {hashlib.sha256(merkle.edited(text, t).encode()).hexdigest() for t in texts}
+        assert r.edited_sha256 in digests
+
+
+def test_pieces_join_to_the_text():
+    for text in (b"", b"a", b"x e s. y!\n\n z? w", b"a\0b e \0\0\n", prose(1, 300).encode()):
+        assert b"".join(merkle.pieces(text)) == text
+
+
+def test_differing_branches_locate_the_edit():
+    text = prose(1, 900).encode()
+    one = merkle.tree(text)
+    assert merkle.first_difference(one, merkle.tree(text)) is None
+    for at in range(10, len(text), 371):
+        other = merkle.tree(text[:at] + b"#" + text[at + 1 :])
+        start = merkle.first_difference(one, other)
+        leaf = next(p for p in range(len(one.sizes)) if sum(one.sizes[: p + 1]) > start)
+        assert start <= at < start + one.sizes[leaf] + 2
+        assert 0.9 < merkle.likeness(one, other) < 1
+    assert merkle.likeness(one, merkle.tree(b"# " + text)) > 0.95

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from acquaint.llm import repeats
+from tests.llm.data import documents, hard_rows, prose
+
+
+def brute(texts: list[bytes]) -> list[tuple]:
+    """For texts in order: bytes, removed, runs and digest, window by window."""
+    seen, found = set(), []
+    for text in texts:
+        gone = bytearray(len(text))
+        for at in range(len(text) - repeats.LENGTH + 1):
+            window = text[at : at + repeats.LENGTH]
+            if window in seen:
+                gone[at : at + repeats.LENGTH] = b"\1" * repeats.LENGTH
+            seen.add(window)
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        runs = sum(g and not (at and gone[at - 1]) for at, g in enumerate(gone))
+        found.append((len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+    return found
+
+
+def check(spark, rows):
+    """Rows with different ids, in any order."""
+    found = repeats.removal(documents(spark, rows)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    wanted = brute([(r[1] or "").encode() for r in order])
+    assert {r.doc_id: tuple(r)[2:6] for r in found} == {r[0]: w for r, w in zip(order, wanted)}
+    assert len(found) == len(rows)
+
+
+def planted(seed: int) -> list[tuple]:
+    draw = random.Random(seed)
+    passages = [prose(900 + i, 40) for i in range(3)]
+    rows = []
+    for i in range(40):
+        text = prose(i, draw.randint(1, 120))
+        for _ in range(draw.randrange(3)):
+            at = draw.randrange(len(text))
+            text = text[:at] + draw.choice(passages)[draw.randrange(30) :] + text[at:]
+        rows.append((draw.randrange(10**6) * 64 + i, text))
+    rows += [(7 * 64 + 50, rows[3][1]), (3, "ab" * 300), (5, "a" * 150), (6, "a" * 99 + "é" * 90)]
+    rows += [(8, "abc" * 40 + "d" + "abc" * 60), (None, rows[5][1][:150]), (9, None), (10, "")]
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_planted_passages(spark, seed):
+    check(spark, planted(seed))
+
+
+def test_very_common_grams_are_dealt_out_by_window(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "MOST_STRETCHES", 3)
+    check(spark, planted(5))
+
+
+def test_rows_that_share_an_id(spark):
+    found = repeats.removal(documents(spark, hard_rows()))
+    assert found.count() == len(hard_rows())
+    removed = sorted((r.doc_id, r.n_removed > 0) for r in found.where("doc_id < 3").collect())
+    assert removed == [(1, False), (1, True), (2, True)]
+    assert repeats.removal(documents(spark, [])).collect() == []
+
+
+def test_shortened_documents_keep_their_columns(spark):
+    rows = documents(spark, hard_rows())
+    found = repeats.shortened_documents(rows)
+    assert found.schema == rows.schema
+    texts = sorted((str(r.doc_id), r.text or "") for r in found.collect())
+    copies = sorted((str(d), t or "") for d, t, *_ in hard_rows())
+    copies.remove(("1", hard_rows()[0][1]))
+    copies.remove(("2", hard_rows()[0][1]))
+    assert texts == copies
+    assert all(r.n_chars == len(r.text) for r in found.where("text IS NOT NULL").collect())
+
+
+def test_cut_characters_go(spark):
+    common = "é" * 60
+    rows = documents(spark, [(1, "x" + common), (2, "É" + common[:55] + "ê" + "end")])
+    found = {r.doc_id: r.text for r in repeats.shortened_documents(rows).collect()}
+    assert found[1].startswith("x") and found[2].endswith("end") and "�" not in found[2]
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 5, 100])
+def test_suffix_ranks(depth):
+    draw = np.random.default_rng(depth)
+    flat = draw.integers(0, 3, 300).astype(np.uint8)
+    text = flat.tobytes()
+    heads = [text[i : i + depth] for i in range(len(text))]
+    order = {head: i + 1 for i, head in enumerate(sorted(set(heads)))}
+    assert repeats.suffix_ranks(flat, depth).tolist() == [order[h] for h in heads]
