@@ -6,16 +6,15 @@
 2. Documents with equal sets are one class from here on; only its smallest
    doc_id goes on. Buckets with the same members count once.
 3. Within a bucket, agreeing signature fields, counted by bit operations and
-   corrected for chance agreement, estimate similarities. In each round every
-   document proposes, in each bucket, the likeliest document that is not yet in
-   its component and that it was not yet held against. A proposal is confirmed or
-   refuted on the full sets. Rounds go on until nothing is proposed.
-
-So pairs inside a component that is already joined are never made: a group of n
-copies costs about n proposals a round, not n * n. Large buckets are cut into
-blocks, and every row that may still propose is held against each block. The
-first round has only stars around each large bucket's smallest member, which
-joins most of it at once.
+   corrected for chance agreement, estimate similarities. Where an estimate may
+   reach the similarity asked for, the full sets of both documents are brought
+   there and decide.
+
+Pairs do not leave the tasks, and pairs of documents that are joined already are
+not judged, so a group of n copies gives about n links, not n * n. Large buckets
+are cut into blocks. Before that, stars around each large bucket's smallest member
+join most of it; then only what is outside the bucket's commonest component is
+held against all of its blocks.
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ MINIMA = BANDS * ROWS
 MARGIN = 0.2
 
 #: Members of a bucket that are held against one another in one task.
-BLOCK = 1024
+BLOCK = 512
 
 _M = np.uint64(0xD6E8FEB86659FD93)
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -283,42 +282,44 @@ def _linked(members: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
     nodes = members.select("node").distinct()
     labels = written(nodes.withColumn("label", F.col("node")), "labels")
     stars = members.where((F.col("n") > BLOCK) & (F.col("node") != F.col("least")))
-    labels = _joined(labels, stars.select(F.col("least").alias("a"), F.col("node").alias("b")), sets, near)
-    reached = None
-    while True:
-        proposed = written(_proposals(members, labels, reached, near), "proposed")
-        if proposed.isEmpty():
-            return labels
-        labels = _joined(labels, proposed.select(F.col("partner").alias("a"), F.col("node").alias("b")), sets, near)
-        places = proposed.select("bucket", "block", "node", F.struct("rank", "partner").alias("to"))
-        if reached is not None:
-            places = places.unionByName(reached)
-        reached = written(
-            places.groupBy("bucket", "block", "node").agg(F.max("to").alias("to")), "reached"
-        )
+    stars = written(stars.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    if not stars.isEmpty():
+        labels = joined_labels(labels, _confirmed(stars, sets, near))
+    places = written(_places(members, labels), "places")
+    likely = written(places.mapInArrow(_likely(near), "bucket long, block int, node long"), "likely")
+    of_node = members.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+    rows = (
+        places.join(likely.distinct(), ["bucket", "block", "node"], "left_semi")
+        .join(of_node, "node")
+        .join(sets, "node")
+    )
+    links = (
+        rows.select(*_PLACE_COLUMNS, "buckets", "shingles")
+        .repartition("bucket", "block")
+        .sortWithinPartitions("bucket", "block", "asks", "node")
+        .mapInArrow(_links(near), "a long, b long")
+    )
+    return joined_labels(labels, written(links, "links"))
 
 
-def _joined(labels: DataFrame, pairs: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
-    """Labels after the pairs that the full sets confirm are joined."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _confirmed(pairs: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
+    """The pairs that the full sets confirm."""
     of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
     links = pairs.join(of_a, "a").join(of_b, "b").where(100 * shared >= near.percent * union)
-    links = written(links.select("a", "b"), "links")
-    return labels if links.isEmpty() else joined_labels(labels, links)
+    return written(links.select("a", "b"), "links")
 
 
-def _proposals(
-    members: DataFrame, labels: DataFrame, reached: DataFrame | None, near: Similarity
-) -> DataFrame:
-    """bucket, block, node, rank and partner: the likeliest pairs not yet decided.
+_PLACE_COLUMNS = ["bucket", "block", "node", "label", "signature", "asks"]
 
-    In each bucket all nodes outside its commonest component propose, one partner
-    of another component in each block. Partners come in the order of their rank
-    (fields that differ), then id; ``reached`` says how far a node has come, and
-    partners up to there were judged or joined before.
+
+def _places(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets with several components, in blocks, sorted by them.
+
+    All nodes are in one block of their bucket to be asked about. Those outside
+    the bucket's commonest component also ask, in all its blocks.
     """
     now = members.join(labels, "node")
     common = (
@@ -334,78 +335,106 @@ def _proposals(
     )
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     now = now.join(common, "bucket").withColumn("blocks", blocks)
-    columns = ["bucket", "block", "node", "label", "signature"]
-    held = now.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    held = held.select(*columns, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("long").alias("after"), F.lit(False).alias("asks"))
+    asked = now.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     asking = now.where(F.col("label") != F.col("commonest")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    ).select(*columns)
-    none = F.lit(-1)
-    if reached is None:
-        asking = asking.withColumn("rank", none).withColumn("after", none.cast("long"))
-    else:
-        asking = asking.join(reached, ["bucket", "block", "node"], "left").select(
-            *columns,
-            F.coalesce("to.rank", none).alias("rank"),
-            F.coalesce("to.partner", none.cast("long")).alias("after"),
-        )
-    rows = held.unionByName(asking.withColumn("asks", F.lit(True)))
-    wanted = near.percent / 100 - MARGIN
-    by_chance = 2.0**-BITS
-    most_unlike = int(MINIMA * (1 - wanted) * (1 - by_chance))
+    )
     return (
-        rows.repartition("bucket", "block")
+        asked.withColumn("asks", F.lit(False))
+        .unionByName(asking.withColumn("asks", F.lit(True)))
+        .select(*_PLACE_COLUMNS)
+        .repartition("bucket", "block")
         .sortWithinPartitions("bucket", "block", "asks", "node")
-        .mapInArrow(
-            _partners(most_unlike), "bucket long, block int, node long, rank int, partner long"
-        )
     )
 
 
-def _partners(most_unlike: int):
+def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows that ask and rows asked about, of groups of (bucket, block), if their
+    estimate may be right and they are in different components.
+
+    Of two rows that both ask about each other the larger node does.
+    """
+    wanted = near.percent / 100 - MARGIN
+    most_unlike = int(MINIMA * (1 - wanted) * (1 - 2.0**-BITS))
+    starts = [*group_starts(table, ("bucket", "block")).tolist(), table.num_rows]
+    node, label, asks = (table.column(c).to_numpy() for c in ("node", "label", "asks"))
+    words = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64)
+    words = words.reshape(table.num_rows, -1)
+    for first, last in zip(starts, starts[1:]):
+        split = first + int(np.count_nonzero(~asks[first:last]))
+        base = slice(first, split)
+        also = np.isin(node[base], node[split:last])
+        for at in range(split, last if split > first else split, 256):
+            ask = slice(at, min(at + 256, last))
+            likely = differing(words[ask], words[base]) <= most_unlike
+            likely &= label[ask, None] != label[None, base]
+            likely &= ~also[None, :] | (node[None, base] < node[ask, None])
+            i, j = np.nonzero(likely)
+            if len(i):
+                yield at + i, first + j
+
+
+def _likely(near: Similarity):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ("bucket", "block")):
-            starts = [*group_starts(table, ("bucket", "block")).tolist(), table.num_rows]
-            column = {c: table.column(c).to_numpy() for c in ("bucket", "block", "node", "label", "asks")}
-            rank = table.column("rank").fill_null(-1).to_numpy()
-            after = table.column("after").fill_null(-1).to_numpy()
-            packed = b"".join(table.column("signature").to_pylist())
-            words = np.frombuffer(packed, np.uint64).reshape(table.num_rows, -1)
-            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for first, last in zip(starts, starts[1:]):
-                split = first + int(np.count_nonzero(~column["asks"][first:last]))
-                base = slice(first, split)
-                for at in range(split, last if split > first else split, 256):
-                    ask = slice(at, min(at + 256, last))
-                    unlike = differing(words[ask], words[base])
-                    far = (unlike > most_unlike) | (
-                        column["label"][ask, None] == column["label"][None, base]
-                    )
-                    passed = (unlike < rank[ask, None]) | (
-                        (unlike == rank[ask, None])
-                        & (column["node"][None, base] <= after[ask, None])
-                    )
-                    unlike[far | passed] = MINIMA + 1
-                    best = unlike.argmin(axis=1)
-                    least = unlike[np.arange(len(best)), best]
-                    chosen = np.flatnonzero(least <= MINIMA)
-                    out.append((at + chosen, least[chosen], first + best[chosen]))
-            if out:
-                rows, least, partner = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(column["bucket"][rows]),
-                        pa.array(column["block"][rows]),
-                        pa.array(column["node"][rows]),
-                        pa.array(least.astype(np.int32)),
-                        pa.array(column["node"][partner]),
-                    ],
-                    ["bucket", "block", "node", "rank", "partner"],
-                )
+            involved = np.zeros(table.num_rows, bool)
+            for i, j in _likely_pairs(table, near):
+                involved[i] = involved[j] = True
+            rows = table.select(["bucket", "block", "node"]).filter(pa.array(involved))
+            yield from rows.to_batches()
+
+    return found
+
+
+def _links(near: Similarity):
+    """Links that the full sets confirm, fewest that join what is linked here.
+
+    Two documents that share several buckets are judged in the first of them.
+    """
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ("bucket", "block")):
+            node, bucket = table.column("node").to_numpy(), table.column("bucket").to_numpy()
+            label = table.column("label").to_pylist()
+            shared_buckets = [set(x) for x in table.column("buckets").to_pylist()]
+            shingles = table.column("shingles").combine_chunks()
+            ends = shingles.offsets.to_numpy()
+            values = shingles.values.to_numpy()
+            joined: dict[tuple[int, int], tuple[int, int]] = {}
+
+            def root(of: tuple[int, int]) -> tuple[int, int]:
+                while (up := joined.get(of, of)) != of:
+                    joined[of] = joined.get(up, up)
+                    of = up
+                return of
+
+            links = []
+            for i, j in _likely_pairs(table, near):
+                for x, y in zip(i.tolist(), j.tolist()):
+                    here = int(bucket[x])
+                    one, other = root((here, label[x])), root((here, label[y]))
+                    if one == other or min(shared_buckets[x] & shared_buckets[y]) != here:
+                        continue
+                    if _near(values[ends[x] : ends[x + 1]], values[ends[y] : ends[y + 1]], near):
+                        joined[one] = other
+                        links.append((int(node[x]), int(node[y])))
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return found
 
 
+def _near(a: np.ndarray, b: np.ndarray, near: Similarity) -> bool:
+    """Whether two sorted sets share enough of their union."""
+    if 100 * min(len(a), len(b)) < near.percent * max(len(a), len(b)):
+        return False
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= near.percent * (len(a) + len(b) - shared)
+
+
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Number of fields in which each signature of a differs from each of b."""
     total = np.zeros((len(a), len(b)), np.int32)
