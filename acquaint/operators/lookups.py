@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acquaint.functions import equals_key, typed
+from acquaint.functions.buckets import within_bucket
 from acquaint.operators.spread import spread_join
 from acquaint.schemas import ROW_KEYS
 
@@ -33,7 +34,13 @@ def first_rows(stored: DataFrame, table: str, n: int, *order_by: str) -> DataFra
 
 def by_key(stored: DataFrame, table: str, column: str, key: object) -> DataFrame:
     """All rows whose column equals the key; a NULL key matches nothing."""
-    return typed(stored.where(equals_key(column, key)), table)
+    return typed(_with_key(stored, column, key), table)
+
+
+def _with_key(stored: DataFrame, column: str, key: object) -> DataFrame:
+    if column == "user_id":
+        stored = within_bucket(stored, F.lit(key))
+    return stored.where(equals_key(column, key))
 
 
 def one_by_key(
@@ -48,7 +55,7 @@ def one_by_key(
 
 def count_by_key(stored: DataFrame, column: str, key: object) -> DataFrame:
     """One row with the number of rows whose column equals the key, 0 if none."""
-    return count_rows(stored.where(equals_key(column, key)))
+    return count_rows(_with_key(stored, column, key))
 
 
 def count_rows(rows: DataFrame) -> DataFrame:
@@ -56,11 +63,16 @@ def count_rows(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("count"))
 
 
-def for_keys(stored: DataFrame, table: str, column: str, keys: DataFrame) -> DataFrame:
+def for_keys(
+    stored: DataFrame, table: str, column: str, keys: DataFrame, hot_keys: bool = False
+) -> DataFrame:
     """Rows whose column equals any key of a key table, in one job.
 
     ``keys`` has one column. It may hold repeats and NULLs: repeats do not
-    repeat rows and NULL matches nothing.
+    repeat rows and NULL matches nothing. ``hot_keys`` cuts hot keys up by hand,
+    see ``operators.spread``; the rows are the same.
     """
-    distinct_keys = keys.toDF(column).distinct()
-    return spread_join(typed(stored, table), distinct_keys, column, "left_semi", ROW_KEYS[table])
+    keys, rows = keys.toDF(column), typed(stored, table)
+    if hot_keys:
+        return spread_join(rows, keys.distinct(), column, "left_semi", ROW_KEYS[table])
+    return rows.join(keys, column, "left_semi")

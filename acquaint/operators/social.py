@@ -21,11 +21,13 @@ from acquaint.schemas import REVIEW_SUMMARY, USER_SUMMARY
 def one_row_per_user(users: DataFrame, *columns: str) -> DataFrame:
     """One row per user id with the given columns, all from the same stored row.
 
-    Among repeated ids the smallest row is kept, so reruns agree.
+    Among repeated ids the smallest row is kept, so reruns agree. A row without
+    an id names no user and is left out.
     """
     kept = F.struct(*columns)
     return (
         typed(users, "user")
+        .where(F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(F.min(kept).alias("kept"))
         .select("user_id", *[F.col(f"kept.{c}").alias(c) for c in columns if c != "user_id"])
@@ -38,6 +40,7 @@ def friend_counts(users: DataFrame, friends: DataFrame) -> DataFrame:
     return (
         typed(users, "user")
         .select("user_id")
+        .where(F.col("user_id").isNotNull())
         .distinct()
         .join(counted, "user_id", "left")
         .select("user_id", F.coalesce("friend_count", F.lit(0)).alias("friend_count"))
@@ -58,23 +61,28 @@ def review_counts(users: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def friend_names(friends: DataFrame, users: DataFrame) -> DataFrame:
+def friend_names(friends: DataFrame, users: DataFrame, hot_keys: bool = False) -> DataFrame:
     """Links with the name of the friend; links to unknown users are skipped.
 
-    Repeated links repeat the name and links are not mirrored.
+    Repeated links repeat the name and links are not mirrored. ``hot_keys`` cuts
+    hot friends up by hand, see ``operators.spread``; the rows are the same.
     """
     named = one_row_per_user(users, "name").withColumnRenamed("user_id", "friend_id")
-    links = typed(friends, "friend")
-    return spread_join(links, named, "friend_id", "inner", ["user_id"]).select(
-        "user_id", "friend_id", "name"
-    )
+    return _joined_links(friends, named, "inner", hot_keys).select("user_id", "friend_id", "name")
 
 
-def dangling_friends(friends: DataFrame, users: DataFrame) -> DataFrame:
+def dangling_friends(friends: DataFrame, users: DataFrame, hot_keys: bool = False) -> DataFrame:
     """Links whose friend is not a known user, NULL friends included."""
     known = typed(users, "user").select(F.col("user_id").alias("friend_id")).distinct()
+    joined = _joined_links(friends, known, "left_anti", hot_keys)
+    return joined.select("user_id", "friend_id")
+
+
+def _joined_links(friends: DataFrame, right: DataFrame, how: str, hot_keys: bool) -> DataFrame:
     links = typed(friends, "friend")
-    return spread_join(links, known, "friend_id", "left_anti", ["user_id"])
+    if hot_keys:
+        return spread_join(links, right, "friend_id", how, ["user_id"])
+    return links.join(right, "friend_id", how)
 
 
 def user_profiles(
@@ -87,7 +95,8 @@ def user_profiles(
 ) -> DataFrame:
     """One row per user: own columns, reviews, friend links and elite years.
 
-    ``first_review_*`` columns come from the user's review with the smallest id.
+    ``first_review_*`` columns come from the user's review with the smallest id;
+    a review without an id comes after all others.
     ``elite_year_list`` lists the years in order; a year stored ``n`` times
     (``n`` > 1) is written ``year(n)``, so ``elite_years`` rows are all in it.
 
@@ -95,7 +104,7 @@ def user_profiles(
     use that same key, so no table is shuffled again for them. A filter on
     ``user_id`` after this function reaches every scan.
     """
-    people = one_row_per_user(users, *user_columns).where(F.col("user_id").isNotNull())
+    people = one_row_per_user(users, *user_columns)
     profile = (
         people.join(_reviews_per_user(reviews, review_columns), "user_id", "left")
         .join(_links_per_user(friends), "user_id", "left")
@@ -130,7 +139,7 @@ def user_profile_details(
 
 def _reviews_per_user(reviews: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number of reviews and the review with the smallest id, text shortened."""
-    first = F.struct("review_id", *columns)
+    first = F.struct(F.col("review_id").isNull().alias("no_id"), "review_id", *columns)
     return (
         review_summary(reviews)
         .groupBy("user_id")

@@ -1,4 +1,9 @@
-"""Equi-join that keeps hot keys of a large table from landing in one task."""
+"""Equi-join that keeps hot keys of a large table from landing in one task.
+
+Adaptive execution splits hot keys of plain joins by itself, in sessions built
+by ``acquaint.session.recommended_builder``. This join is for sessions built
+otherwise, with thousands of shuffle partitions; callers name it.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group of keys below this many rows is left alone, however large its share.
-MIN_HOT_ROWS = 100_000
-
 # Hash groups per shuffle partition when measuring how keys are spread. More
 # groups make a hot one hold fewer other keys, whose right rows are repeated.
 GROUPS_PER_PARTITION = 16
@@ -27,7 +29,6 @@ def spread_join(
     key: str,
     how: str,
     apart_by: Sequence[str],
-    min_hot_rows: int | None = None,
 ) -> DataFrame:
     """Join a large ``left`` with a ``right`` that has one row per key.
 
@@ -48,10 +49,9 @@ def spread_join(
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = partitions * GROUPS_PER_PARTITION
-    min_hot_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
     # Fewer rows than there are shuffle partitions, whatever the data: each hot
     # group holds more than 1/partitions of the rows.
-    hot = F.broadcast(_hot_groups(left, key, groups, partitions, min_hot_rows))
+    hot = F.broadcast(_hot_groups(left, key, groups, partitions))
 
     slices = F.coalesce(F.col(_SLICES), F.lit(1))
     left_slices = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(slices)
@@ -77,9 +77,7 @@ def _group_of(key: str, groups: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(groups)).cast("int")
 
 
-def _hot_groups(
-    rows: DataFrame, key: str, groups: int, partitions: int, min_hot_rows: int
-) -> DataFrame:
+def _hot_groups(rows: DataFrame, key: str, groups: int, partitions: int) -> DataFrame:
     """Key groups with more than an average partition's rows, and their slices."""
     counted = (
         rows.where(F.col(key).isNotNull())
@@ -95,7 +93,6 @@ def _hot_groups(
     return (
         packed.select("total", F.inline("counted"))
         .where(share * partitions > 1)
-        .where(F.col("rows") >= min_hot_rows)
         .select(
             _GROUP,
             F.ceil(share * (partitions * SLICES_PER_PARTITION)).cast("int").alias(_SLICES),

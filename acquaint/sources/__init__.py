@@ -1,6 +1,7 @@
 from acquaint.sources.database import (
     Database,
     hash_split,
+    measured_page_split,
     measured_page_splits,
     measured_range_split,
     page_split,
@@ -14,6 +15,7 @@ from acquaint.sources.files import read_parquet_tables
 __all__ = [
     "Database",
     "hash_split",
+    "measured_page_split",
     "measured_page_splits",
     "measured_range_split",
     "page_split",

@@ -26,6 +26,9 @@ ENVIRONMENT_PREFIX = "ACQUAINT_JDBC_"
 
 JDBC_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
+# Of a table split by pages, what a task reads unless a number of parts is given.
+BYTES_PER_PART = 128 << 20
+
 DEFAULT_OPTIONS = {
     # Rows per round trip; the PostgreSQL driver otherwise fetches a whole result.
     "fetchsize": "10000",
@@ -80,9 +83,20 @@ def quoted(name: str) -> str:
 def read_database_tables(
     spark: SparkSession, database: Database, splits: Mapping[str, Split] | None = None
 ) -> SocialTables:
-    """The four tables of a database; a table without a split is read by one task."""
+    """The four tables of a database, each read by many tasks.
+
+    A table without a split is measured when it is first used and split by its
+    pages. Give ``Split()`` to read one in one task, as lookups of a key do well.
+    """
     splits = splits or {}
-    return SocialTables(lambda table: read_table(spark, database, table, splits.get(table)))
+
+    def load(table: str) -> DataFrame:
+        split = splits.get(table)
+        if split is None:
+            split = measured_page_split(spark, database, table)
+        return read_table(spark, database, table, split)
+
+    return SocialTables(load)
 
 
 def read_table(
@@ -137,13 +151,17 @@ def first_stored_rows(spark: SparkSession, database: Database, table: str, n: in
 
 
 def list_tables(spark: SparkSession, database: Database) -> DataFrame:
-    """Schema and name of every base table the database shows to this login."""
+    """Schema and name of every base table the database shows to this login.
+
+    The database's own catalog tables are left out.
+    """
     return _query(
         spark,
         database,
-        "SELECT CAST(table_schema AS varchar(200)) AS table_schema,"
-        " CAST(table_name AS varchar(200)) AS table_name"
-        " FROM information_schema.tables WHERE table_type = 'BASE TABLE'",
+        "SELECT CAST(table_schema AS varchar) AS table_schema,"
+        " CAST(table_name AS varchar) AS table_name"
+        " FROM information_schema.tables WHERE table_type = 'BASE TABLE'"
+        " AND table_schema NOT IN ('pg_catalog', 'information_schema')",
     )
 
 
@@ -155,13 +173,13 @@ def list_columns(spark: SparkSession, database: Database, table: str) -> DataFra
     columns = _query(
         spark,
         database,
-        "SELECT CAST(table_schema AS varchar(200)) AS table_schema,"
-        " CAST(table_name AS varchar(200)) AS table_name,"
+        "SELECT CAST(table_schema AS varchar) AS table_schema,"
+        " CAST(table_name AS varchar) AS table_name,"
         " CAST(ordinal_position AS integer) AS position,"
-        " CAST(column_name AS varchar(200)) AS column_name,"
-        " CAST(data_type AS varchar(200)) AS data_type,"
+        " CAST(column_name AS varchar) AS column_name,"
+        " CAST(data_type AS varchar) AS data_type,"
         " CAST(coalesce(character_maximum_length, numeric_precision) AS integer) AS column_size,"
-        " CAST(is_nullable AS varchar(3)) AS is_nullable"
+        " CAST(is_nullable AS varchar) AS is_nullable"
         " FROM information_schema.columns",
     ).where(equals_key("table_name", table))
     if database.schema is not None:
@@ -224,19 +242,57 @@ def page_split(pages: int, parts: int) -> Split:
     return Split(predicates=predicates)
 
 
-def measured_page_splits(spark: SparkSession, database: Database, parts: int) -> dict[str, Split]:
-    """``page_split`` of every table, with the number of pages asked from PostgreSQL."""
-    splits = {}
-    for table in SCHEMAS:
-        name = database.qualified(table).replace("'", "''")
-        pages = _query(
-            spark,
-            database,
-            f"SELECT pg_relation_size('{name}')"
-            " / CAST(current_setting('block_size') AS bigint) AS pages",
-        ).first()["pages"]
-        splits[table] = page_split(pages, parts)
-    return splits
+def measured_page_splits(
+    spark: SparkSession, database: Database, parts: int | None = None
+) -> dict[str, Split]:
+    """``measured_page_split`` of every table."""
+    return {t: measured_page_split(spark, database, t, parts) for t in SCHEMAS}
+
+
+def measured_page_split(
+    spark: SparkSession, database: Database, table: str, parts: int | None = None
+) -> Split:
+    """``page_split`` by the pages that PostgreSQL says a table has.
+
+    Without ``parts`` each task gets ``BYTES_PER_PART``. A partitioned table holds
+    no pages itself: each of its leaves is split by its own, in parts in
+    proportion to its size. A view has no pages and raises an error.
+    """
+    name = database.qualified(table).replace("'", "''")
+    block = "CAST(current_setting('block_size') AS bigint)"
+    # One row for each leaf of the table; a plain table is its own leaf.
+    leaves = _query(
+        spark,
+        database,
+        "SELECT CAST(c.relkind AS varchar) AS kind,"
+        " CAST(CAST(coalesce(t.relid, c.oid) AS oid) AS bigint) AS leaf,"
+        f" pg_relation_size(coalesce(t.relid, c.oid)) / {block} AS pages, {block} AS page_bytes"
+        " FROM pg_class c LEFT JOIN LATERAL pg_partition_tree(c.oid) t ON true"
+        f" WHERE c.oid = CAST('{name}' AS regclass) AND coalesce(t.isleaf, true)",
+    ).collect()
+    kinds = {leaf["kind"] for leaf in leaves}
+    if kinds - {"r", "p", "m"}:
+        raise ValueError(
+            f"{database.qualified(table)} is a view or foreign table and has no pages to"
+            " split; give read_database_tables a hash_split or range_split for it"
+        )
+    if len(leaves) == 1 and kinds != {"p"}:
+        pages = leaves[0]["pages"]
+        return page_split(pages, parts or _parts_of(pages, leaves[0]["page_bytes"]))
+    whole = sum(leaf["pages"] for leaf in leaves)
+    predicates = []
+    for leaf in leaves:
+        if parts:
+            own = max(1, round(parts * leaf["pages"] / max(1, whole)))
+        else:
+            own = _parts_of(leaf["pages"], leaf["page_bytes"])
+        ranges = page_split(leaf["pages"], own).predicates
+        predicates += [f"tableoid = {leaf['leaf']} AND {r}" for r in ranges]
+    return Split(predicates=predicates)
+
+
+def _parts_of(pages: int, page_bytes: int) -> int:
+    return max(1, -(-pages * page_bytes // BYTES_PER_PART))
 
 
 def _query(spark: SparkSession, database: Database, query: str) -> DataFrame:

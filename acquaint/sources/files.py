@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from acquaint.functions.buckets import layout_columns
 from acquaint.schemas import schema_of
 from acquaint.tables import SocialTables
 
@@ -13,7 +14,7 @@ def read_parquet_tables(spark: SparkSession, root: str) -> SocialTables:
 
     def load(table: str) -> DataFrame:
         stored = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-        # Without the columns that only name folders.
-        return stored.select(*schema_of(table).fieldNames())
+        # Columns that name folders stay, so that lookups can choose folders by them.
+        return stored.select(*schema_of(table).fieldNames(), *layout_columns(stored.columns))
 
     return SocialTables(load)

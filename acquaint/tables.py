@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acquaint.functions import equals_key
+from acquaint.functions.buckets import layout_columns, within_bucket
 from acquaint.operators import inspection, lookups, social, summaries
 from acquaint.schemas import SCHEMAS, USER, schema_of
 
@@ -46,8 +47,18 @@ class SocialTables:
     def friend(self) -> DataFrame:
         return self.stored("friend")
 
+    def plain(self, table: str) -> DataFrame:
+        """A stored frame without columns that only name folders."""
+        stored = self.stored(table)
+        return stored.drop(*layout_columns(stored.columns))
+
     def items(self) -> Iterator[tuple[str, DataFrame]]:
-        return ((table, self.stored(table)) for table in SCHEMAS)
+        return ((table, self.plain(table)) for table in SCHEMAS)
+
+    def _of_user(self, user_id: Column) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Users, reviews, links and elite rows of the folders that can hold a user."""
+        tables = ("user", "review", "friend", "elite")
+        return tuple(within_bucket(self.stored(table), user_id) for table in tables)
 
     def create_views(self, prefix: str = "") -> None:
         """Register the stored frames for ``spark.sql(..., args={...})``."""
@@ -87,8 +98,8 @@ class SocialTables:
     def reviews_of(self, user_id: str | None) -> DataFrame:
         return lookups.by_key(self.review, "review", "user_id", user_id)
 
-    def reviews_of_all(self, user_ids: DataFrame) -> DataFrame:
-        return lookups.for_keys(self.review, "review", "user_id", user_ids)
+    def reviews_of_all(self, user_ids: DataFrame, hot_keys: bool = False) -> DataFrame:
+        return lookups.for_keys(self.review, "review", "user_id", user_ids, hot_keys)
 
     def review_summaries(self) -> DataFrame:
         return summaries.review_summary(self.review)
@@ -107,8 +118,8 @@ class SocialTables:
     def elites_of(self, user_id: str | None) -> DataFrame:
         return lookups.by_key(self.elite, "elite", "user_id", user_id)
 
-    def elites_of_all(self, user_ids: DataFrame) -> DataFrame:
-        return lookups.for_keys(self.elite, "elite", "user_id", user_ids)
+    def elites_of_all(self, user_ids: DataFrame, hot_keys: bool = False) -> DataFrame:
+        return lookups.for_keys(self.elite, "elite", "user_id", user_ids, hot_keys)
 
     def elites_in(self, year: int | None) -> DataFrame:
         return lookups.by_key(self.elite, "elite", "year", year)
@@ -124,8 +135,8 @@ class SocialTables:
     def friends_of(self, user_id: str | None) -> DataFrame:
         return lookups.by_key(self.friend, "friend", "user_id", user_id)
 
-    def friends_of_all(self, user_ids: DataFrame) -> DataFrame:
-        return lookups.for_keys(self.friend, "friend", "user_id", user_ids)
+    def friends_of_all(self, user_ids: DataFrame, hot_keys: bool = False) -> DataFrame:
+        return lookups.for_keys(self.friend, "friend", "user_id", user_ids, hot_keys)
 
     def count_friends(self, user_id: str | None) -> DataFrame:
         return lookups.count_by_key(self.friend, "user_id", user_id)
@@ -133,14 +144,14 @@ class SocialTables:
     def friend_counts(self) -> DataFrame:
         return social.friend_counts(self.user, self.friend)
 
-    def friend_names(self) -> DataFrame:
-        return social.friend_names(self.friend, self.user)
+    def friend_names(self, hot_keys: bool = False) -> DataFrame:
+        return social.friend_names(self.friend, self.user, hot_keys)
 
     def friend_names_of(self, user_id: str | None) -> DataFrame:
         return social.friend_names(self.friends_of(user_id), self.user)
 
-    def dangling_friends(self) -> DataFrame:
-        return social.dangling_friends(self.friend, self.user)
+    def dangling_friends(self, hot_keys: bool = False) -> DataFrame:
+        return social.dangling_friends(self.friend, self.user, hot_keys)
 
     # Profiles.
 
@@ -148,18 +159,21 @@ class SocialTables:
         return social.user_profiles(self.user, self.review, self.friend, self.elite)
 
     def profile_of(self, user_id: str | None) -> DataFrame:
-        return self.profiles().where(equals_key("user_id", user_id))
+        profiles = social.user_profiles(*self._of_user(F.lit(user_id)))
+        return profiles.where(equals_key("user_id", user_id))
 
     def profile_details(self) -> DataFrame:
         return social.user_profile_details(self.user, self.review, self.friend, self.elite)
 
     def profile_details_of(self, user_id: str | None) -> DataFrame:
-        return self.profile_details().where(equals_key("user_id", user_id))
+        profiles = social.user_profile_details(*self._of_user(F.lit(user_id)))
+        return profiles.where(equals_key("user_id", user_id))
 
     def first_user_profile(self) -> DataFrame:
         """Detailed profile of the user with the smallest id."""
         smallest = self.user.agg(F.min("user_id")).scalar()
-        return self.profile_details().where(F.col("user_id") == smallest)
+        profiles = social.user_profile_details(*self._of_user(smallest))
+        return profiles.where(F.col("user_id") == smallest)
 
     # Inspection.
 
@@ -168,7 +182,7 @@ class SocialTables:
 
     def column_profiles(self, *tables: str) -> DataFrame:
         chosen = tables or tuple(SCHEMAS)
-        return inspection.profile_columns([(t, self.stored(t)) for t in chosen])
+        return inspection.profile_columns([(t, self.plain(t)) for t in chosen])
 
     def first_row(self, table: str, *order_by: str) -> DataFrame:
-        return inspection.first_row(self.stored(table), *order_by)
+        return inspection.first_row(self.plain(table), *order_by)

@@ -19,7 +19,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from acquaint.plans.extraction import extract_tables
-from acquaint.session import apply_recommended
+from acquaint.session import recommended_builder
 from acquaint.sources import read_parquet_tables
 from workload import registry
 from workload.standins import social_tables
@@ -27,7 +27,7 @@ from workload.standins import social_tables
 
 def session(cpus: str) -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        recommended_builder().master(f"local[{cpus}]")
         .appName("acquaint-bench")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
@@ -36,7 +36,7 @@ def session(cpus: str) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return apply_recommended(spark)
+    return spark
 
 
 def seconds(run: Callable[[], object]) -> float:
@@ -66,8 +66,9 @@ def main() -> None:
     derived = timed(
         {n: lambda q=q: q(spark, sf_dir) for n, q in registry.queries().items()}
     )
+    # On a cluster, name a folder in BENCH_TABLES_DIR that all executors share.
     with tempfile.TemporaryDirectory(prefix="acquaint-bench-") as folder:
-        root = f"{folder}/tables"
+        root = f"{os.environ.get('BENCH_TABLES_DIR', folder)}/tables-{os.getpid()}"
         extraction = seconds(lambda: extract_tables(social_tables(spark, sf_dir), root))
         tables = read_parquet_tables(spark, root)
         stored = timed(

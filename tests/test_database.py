@@ -219,12 +219,56 @@ def test_measured_range(spark):
     assert db.measured_range_split(empty, HOME, "review", "spark_partition", 8) == db.Split()
 
 
+LEAVES = "kind string, leaf long, pages long, page_bytes long"
+
+
+def measured(spark, leaves, parts=None):
+    fake = session(spark.createDataFrame(leaves, LEAVES))
+    return db.measured_page_split(fake, HOME, "review", parts), fake.read.calls
+
+
 def test_measured_pages(spark):
-    fake = session(spark.sql("SELECT 10L AS pages"))
+    fake = session(spark.createDataFrame([("r", 1, 10, 8192)], LEAVES))
     splits = db.measured_page_splits(fake, HOME, 4)
     assert set(splits) == {"user", "review", "elite", "friend"}
     assert splits["user"] == db.page_split(10, 4)
-    assert "pg_relation_size('\"social\".\"user\"')" in fake.read.calls[0]["query"]
+    query = fake.read.calls[0]["query"]
+    assert "pg_partition_tree" in query and "CAST('\"social\".\"user\"' AS regclass)" in query
+
+
+@pytest.mark.parametrize("pages, parts", [(0, 1), (1, 1), (16384, 1), (16385, 2), (10**6, 62)])
+def test_number_of_parts_follows_the_size(spark, pages, parts):
+    assert measured(spark, [("r", 1, pages, 8192)])[0] == db.page_split(pages, parts)
+
+
+def test_a_hundred_terabytes(spark):
+    split, _ = measured(spark, [("p", leaf, 2**27, 8192) for leaf in range(100)])
+    assert len(split.predicates) == 100 * 8192
+
+
+def test_leaves_are_split_by_their_own_pages(spark):
+    split, _ = measured(spark, [("p", 7, 40_000, 8192), ("p", 9, 0, 8192)])
+    assert [p for p in split.predicates if p.startswith("tableoid = 9 ")] == [
+        "tableoid = 9 AND ctid >= '(0,0)'::tid"
+    ]
+    assert sum(p.startswith("tableoid = 7 AND ") for p in split.predicates) == 3
+    split, _ = measured(spark, [("p", 7, 30, 8192), ("p", 9, 10, 8192)], parts=4)
+    assert [p.split()[2] for p in split.predicates] == ["7", "7", "7", "9"]
+
+
+def test_views_cannot_be_split_by_pages(spark):
+    with pytest.raises(ValueError, match="hash_split"):
+        measured(spark, [("v", 1, 0, 8192)])
+
+
+def test_whole_tables_measure_their_splits(spark):
+    fake = session(spark.createDataFrame([("r", 1, 40_000, 8192)], LEAVES))
+    opened = db.read_database_tables(fake, HOME)
+    assert fake.read.calls == []
+    assert opened.user is fake.read.frame
+    assert len(fake.read.calls[1]["predicates"]) == 3
+    in_one = db.read_database_tables(fake, HOME, {"elite": db.Split()})
+    assert in_one.elite is fake.read.frame and fake.read.calls[-1]["dbtable"] == '"social"."elite"'
 
 
 def test_list_columns_matches_the_exact_name(spark):
@@ -247,7 +291,10 @@ def test_list_columns_matches_the_exact_name(spark):
 def test_list_tables_asks_for_base_tables():
     spark = session("frame")
     assert db.list_tables(spark, HOME) == "frame"
-    assert "table_type = 'BASE TABLE'" in spark.read.calls[0]["query"]
+    query = spark.read.calls[0]["query"]
+    assert "table_type = 'BASE TABLE'" in query
+    assert "NOT IN ('pg_catalog', 'information_schema')" in query
+    assert "varchar(" not in query
 
 
 @pytest.mark.parametrize("columns", [["user_id"], ["user_id", "friend_id"]])

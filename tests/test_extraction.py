@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import duckdb
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from acquaint.__main__ import main
-from acquaint.plans.extraction import extract_table, extract_tables
+from acquaint.__main__ import main, show
+from acquaint.functions.buckets import bucket_column, bucket_of
+from acquaint.plans.extraction import BUCKETS, extract_table, extract_tables
 from acquaint.schemas import SCHEMAS
 from acquaint.sources import read_parquet_tables
 from tests.helpers import day, elite, friend, review, rows, tables, user
@@ -123,7 +126,81 @@ def test_one_large_year_is_written_as_several_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/elite").count() == 60_000
 
 
+def test_a_user_lies_in_few_files(spark, extracted):
+    for table in ("user", "review", "friend"):
+        files = list(Path(extracted, table).glob("*/*.parquet"))
+        stored = spark.read.parquet(f"{extracted}/{table}")
+        mine = stored.where("user_id = 'u7'").select(F.input_file_name()).distinct().count()
+        bucket = bucket_of(F.lit("u7"), BUCKETS)
+        folder = spark.range(1).select(bucket).first()[0]
+        held = list(Path(extracted, table, f"{bucket_column(BUCKETS)}={folder}").glob("*.parquet"))
+        assert mine <= len(held) <= max(1, len(files) // 16)
+
+
+@pytest.mark.parametrize(
+    "read",
+    [
+        lambda t: t.reviews_of("u7"),
+        lambda t: t.user_by_id("u7"),
+        lambda t: t.friends_of("u7"),
+        lambda t: t.count_friends("u7"),
+        lambda t: t.profile_of("u7"),
+        lambda t: t.profile_details_of("u7"),
+        lambda t: t.first_user_profile(),
+    ],
+)
+def test_lookups_choose_folders(spark, extracted, read):
+    plan = plan_of(read(read_parquet_tables(spark, extracted)))
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert scans and any(bucket_column(BUCKETS) in filters for filters in scans)
+    unread = [f for f in scans if bucket_column(BUCKETS) not in f]
+    assert len(unread) <= plan.count("/elite]") + plan.count("min(user_id")
+
+
+def test_null_keys_are_kept_with_any_number_of_buckets(spark, tmp_path):
+    t = tables(spark, friend=[friend(None, "a"), friend("a", None), friend(None, None)])
+    for buckets in (1, 7):
+        extract_table(t.friend, "friend", f"{tmp_path}/{buckets}", buckets=buckets)
+        written = read_parquet_tables(spark, f"{tmp_path}/{buckets}")
+        assert rows(written.friends()) == rows(t.friends())
+        assert rows(written.friends_of("a")) == rows(t.friends_of("a"))
+        assert written.friends_of(None).count() == 0
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_hot_user_is_cut_into_several_files(spark, tmp_path, adaptive):
+    settings = {
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        many = spark.range(0, 60_000, 1, 8).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('u', id % 997) END AS user_id",
+            "concat('u', id) AS friend_id",
+        )
+        extract_table(many, "friend", str(tmp_path), buckets=4)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    found = spark.read.parquet(f"{tmp_path}/friend")
+    assert found.count() == 60_000
+    assert found.where("user_id = 'hot'").select(F.input_file_name()).distinct().count() > 1
+
+
 def test_overview_command_reads_written_tables(spark, extracted, capsys):
     main(["overview", "--tables", extracted])
     shown = capsys.readouterr().out
     assert "First 5 users" in shown and "Columns of friend" in shown
+
+
+def test_long_lists_are_shown_whole(spark, capsys):
+    names = spark.range(150).selectExpr("concat('t', id, '-', repeat('x', 300)) AS table_name")
+    show("Tables", names)
+    shown = capsys.readouterr().out.splitlines()
+    assert shown[0] == "Tables" and shown[-2] == "150 in total"
+    assert {line for line in shown if line.startswith("t") and line != "table_name"} == {
+        f"t{i}-{'x' * 300}" for i in range(150)
+    }

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from acquaint.operators import spread
+from acquaint.operators.lookups import for_keys
+from acquaint.operators.social import dangling_friends, friend_names
 from acquaint.operators.spread import spread_join
-from tests.helpers import rows
+from tests.helpers import frame, rows, user
 from tests.plans import plan_of
 
 PARTITIONS = 8
@@ -35,12 +42,11 @@ def unique_right(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("min_hot_rows", [1, 100_000])
-def test_same_rows_as_the_plain_join(spark, how, min_hot_rows):
+def test_same_rows_as_the_plain_join(spark, how):
     left, right = hot_left(spark), unique_right(spark)
     plain = left.join(right, "key", how)
     plain = plain.select("key", "value", *(["name"] if how == "inner" else []))
-    joined = spread_join(left, right, "key", how, ["value"], min_hot_rows)
+    joined = spread_join(left, right, "key", how, ["value"])
     assert joined.columns == plain.columns
     assert rows(joined) == rows(plain)
     assert rows(joined)
@@ -62,7 +68,7 @@ def test_hot_key_reaches_many_tasks(spark, how, apart_by):
             return joined.where(condition).select(F.spark_partition_id()).distinct().count()
 
         assert tasks_of(left.join(right, "key", how), hot) == 1
-        joined = spread_join(left, right, "key", how, apart_by, min_hot_rows=1)
+        joined = spread_join(left, right, "key", how, apart_by)
         assert tasks_of(joined, hot) >= 4
         assert tasks_of(joined, key) >= 4
     finally:
@@ -72,14 +78,14 @@ def test_hot_key_reaches_many_tasks(spark, how, apart_by):
 
 def test_broadcast_side_is_smaller_than_the_number_of_partitions(spark):
     groups = PARTITIONS * spread.GROUPS_PER_PARTITION
-    hot = spread._hot_groups(hot_left(spark), "key", groups, PARTITIONS, 1)
+    hot = spread._hot_groups(hot_left(spark), "key", groups, PARTITIONS)
     assert 1 <= hot.count() < PARTITIONS
 
 
 def test_groups_are_counted_once_for_both_sides(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = spread_join(hot_left(spark), unique_right(spark), "key", "inner", ["value"], 1)
+        joined = spread_join(hot_left(spark), unique_right(spark), "key", "inner", ["value"])
         plan = plan_of(joined)
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -90,11 +96,70 @@ def test_groups_are_counted_once_for_both_sides(spark):
 def test_no_hot_groups_on_empty_input(spark):
     left = hot_left(spark).limit(0)
     right = unique_right(spark)
-    assert spread_join(left, right, "key", "inner", ["value"], 1).count() == 0
-    kept = spread_join(hot_left(spark), right.limit(0), "key", "left_anti", ["value"], 1)
+    assert spread_join(left, right, "key", "inner", ["value"]).count() == 0
+    kept = spread_join(hot_left(spark), right.limit(0), "key", "left_anti", ["value"])
     assert kept.count() == 6000
 
 
+def test_hot_keys_by_name_give_the_same_rows(spark):
+    links = hot_left(spark).selectExpr("CAST(value AS string) AS user_id", "key AS friend_id")
+    people = frame(
+        spark, "user", [user(r["key"], r["name"]) for r in unique_right(spark).collect()]
+    )
+    for joined in (friend_names, dangling_friends):
+        assert rows(joined(links, people, True)) == rows(joined(links, people))
+    wanted = people.select("user_id")
+    ours = links.selectExpr("friend_id AS user_id", "user_id AS friend_id")
+    by_hand = for_keys(ours, "friend", "user_id", wanted, hot_keys=True)
+    assert rows(by_hand) == rows(for_keys(ours, "friend", "user_id", wanted))
+
+
+SKEW_SCRIPT = """
+from acquaint.session import recommended_builder
+from tests.plans import plan_of
+from tests.test_spread import hot_left, unique_right
+spark = (
+    recommended_builder().master("local[4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "2001")
+    .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+    .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "0")
+    .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    .getOrCreate()
+)
+spark.sparkContext.setLogLevel("ERROR")
+left = spark.range(0, 120000, 1, 16).selectExpr(
+    "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 40000) END AS key",
+    "md5(CAST(id AS string)) AS value",
+)
+right = spark.range(0, 40000, 2).selectExpr("concat('k', id) AS key").union(
+    spark.sql("SELECT 'hot'")
+)
+for how in ("inner", "left_semi", "left_anti"):
+    joined = left.join(right if how != "left_anti" else right.where("key <> 'hot'"), "key", how)
+    print(how, joined.count() if how == "nothing" else len(joined.collect()))
+    print("split" if "skew=true" in plan_of(joined) else "whole")
+spark.stop()
+"""
+
+
+def test_plain_joins_are_split_at_2001_partitions():
+    """A session of its own, as the setting is read when one starts."""
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run(
+        [sys.executable, "-c", SKEW_SCRIPT],
+        cwd=root,
+        env=os.environ | {"PYTHONPATH": str(root)},
+        capture_output=True,
+        text=True,
+        timeout=600,
+    )
+    counts = {"inner": 80000, "left_semi": 80000, "left_anti": 80000}
+    found = done.stdout.split()
+    assert found == [x for how in counts for x in (how, str(counts[how]), "split")], done.stderr[-2000:]
+
+
 keys = st.sampled_from(["a", "b", "c", "d", None])
 
 
@@ -106,7 +171,7 @@ def test_any_small_input(spark, left, right):
     left_rows = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "key string, i int")
     right_rows = spark.createDataFrame([(k,) for k in right], "key string")
     known = {k for k in right if k is not None}
-    kept = rows(spread_join(left_rows, right_rows, "key", "left_semi", ["i"], 1))
-    dropped = rows(spread_join(left_rows, right_rows, "key", "left_anti", ["i"], 1))
+    kept = rows(spread_join(left_rows, right_rows, "key", "left_semi", ["i"]))
+    dropped = rows(spread_join(left_rows, right_rows, "key", "left_anti", ["i"]))
     assert kept == {(k, i): 1 for i, k in enumerate(left) if k in known}
     assert dropped == {(k, i): 1 for i, k in enumerate(left) if k not in known}

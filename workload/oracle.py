@@ -114,11 +114,19 @@ elite_by_user AS (
 _BY_USER = """
 links_by_user AS (SELECT user_id, count(*) AS n FROM friend GROUP BY user_id),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY review_id) AS place
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY review_id NULLS LAST) AS place
   FROM typed_review
 ),
 reviews_by_user AS (SELECT user_id, count(*) AS n FROM typed_review GROUP BY user_id)"""
 
+_HOT_FRIEND_NAMES = """
+SELECT f.user_id, f.friend_id, u.name
+FROM (SELECT user_id,
+             CASE WHEN CAST(substr(friend_id, 2) AS BIGINT) % 3 = 0
+                  THEN 'u7' ELSE friend_id END AS friend_id
+      FROM friend) f
+JOIN users u ON u.user_id = f.friend_id"""
+
 _COLUMN_TYPES = {
     "users": [
         ("average_stars", "double"),
@@ -188,7 +196,7 @@ def _on_all(select: str) -> str:
     return _with(_REVIEW, _USER, _ELITE, _FRIEND, select=select)
 
 
-def _profile(where: str = "") -> str:
+def _profile(where: str = "WHERE u.user_id IS NOT NULL") -> str:
     return _with(
         _REVIEW,
         _USER,
@@ -211,7 +219,7 @@ LEFT JOIN elite_by_user e ON e.user_id = u.user_id
     )
 
 
-def _profile_details(where: str = "") -> str:
+def _profile_details(where: str = "WHERE u.user_id IS NOT NULL") -> str:
     return _with(
         _REVIEW,
         _USER,
@@ -322,13 +330,14 @@ def oracle_sql() -> dict[str, str]:
         "friend_counts_all": _on_friend_and_user(
             """
 SELECT u.user_id, count(f.user_id) AS friend_count
-FROM (SELECT DISTINCT user_id FROM users) u LEFT JOIN friend f ON f.user_id = u.user_id
+FROM (SELECT DISTINCT user_id FROM users WHERE user_id IS NOT NULL) u LEFT JOIN friend f ON f.user_id = u.user_id
 GROUP BY u.user_id"""
         ),
         "review_counts_all": _on_user(
             """
 SELECT u.user_id, u.name, count(r.user_id) AS review_count
 FROM users u LEFT JOIN review r ON r.user_id = u.user_id
+WHERE u.user_id IS NOT NULL
 GROUP BY u.user_id, u.name"""
         ),
         "friends_with_names": _on_friend_and_user(
@@ -341,6 +350,8 @@ FROM friend f JOIN users u ON u.user_id = f.friend_id WHERE f.user_id = 'u7'"""
 SELECT f.user_id, f.friend_id, u.name
 FROM friend f JOIN users u ON u.user_id = f.friend_id"""
         ),
+        "hot_friend_names": _on_friend_and_user(_HOT_FRIEND_NAMES),
+        "hot_friend_names_plain": _on_friend_and_user(_HOT_FRIEND_NAMES),
         "dangling_friends": _on_friend_and_user(
             """
 SELECT f.user_id, f.friend_id FROM friend f

@@ -98,6 +98,15 @@ def friends(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def hot_links(friend: DataFrame) -> DataFrame:
+    """All links; those to every third friend lead to one user instead."""
+    return friend.selectExpr(
+        "user_id",
+        "CASE WHEN CAST(substring(friend_id, 2) AS bigint) % 3 = 0 THEN 'u7'"
+        " ELSE friend_id END AS friend_id",
+    )
+
+
 def users(customer: DataFrame, supplier: DataFrame, review: DataFrame) -> DataFrame:
     """Customers, who write reviews, and suppliers, who do not and have no links."""
     people = customer.selectExpr(
