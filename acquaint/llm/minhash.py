@@ -40,6 +40,9 @@ MARGIN = 0.2
 #: Members of a bucket that are held against one another in one task.
 BLOCK = 512
 
+#: Bits of the bitmap that is broadcast: 8 MB, however many documents there are.
+MOST_BITS = 1 << 26
+
 _M = np.uint64(0xD6E8FEB86659FD93)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -249,20 +252,35 @@ def _members(classes: DataFrame) -> DataFrame:
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket", "n", "least")
     )
-    found = named.join(buckets, "bucket")
-    return found.join(classes.select("node", "signature"), "node").select(
-        "bucket", "n", "least", "node", "signature"
+    of_node = (
+        named.join(buckets, "bucket")
+        .groupBy("node")
+        .agg(F.collect_list(F.struct("bucket", "n", "least")).alias("held"))
+        .join(classes.select("node", "signature"), "node")
+    )
+    return of_node.select(
+        "node", "signature", F.col("held.bucket").alias("buckets"), F.inline("held")
     )
 
 
 def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame:
-    """The full sets of documents that share a bucket with another."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(
-        nodes, "node", "left_semi"
+    """The full sets of documents that share a bucket with another.
+
+    A bitmap of their hashes leaves most other documents out before anything is
+    shuffled; the join is exact.
+    """
+    slots, bitmap = _bitmap(nodes)
+    sent = documents.sparkSession.sparkContext.broadcast(bitmap)
+    node = F.col("doc_id").cast("long")
+    rows = documents.select(
+        node.alias("node"), F.pmod(F.xxhash64(node), F.lit(slots)).alias("slot"), "text"
     )
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            kept = (sent.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
+            batch = batch.filter(pa.array(kept.astype(bool)))
             texts, ids = batch.column("text"), batch.column("node")
             for first, last in slices(encoded(texts)[1]):
                 sets = shingle_sets(texts.slice(first, last - first), near.words)
@@ -274,7 +292,24 @@ def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame
                     ["node", "shingles"],
                 )
 
-    return rows.mapInArrow(whole_sets, "node long, shingles array<long>")
+    return rows.mapInArrow(whole_sets, "node long, shingles array<long>").join(
+        nodes, "node", "left_semi"
+    )
+
+
+def _bitmap(nodes: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of bits, at most ``MOST_BITS``, and those of the nodes' hashes."""
+    slots = 1 << min(MOST_BITS.bit_length() - 1, max(15, (16 * nodes.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("node"), F.lit(slots))
+    parts = (
+        nodes.groupBy(F.shiftright(slot, 15).alias("part"))
+        .agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits"))
+        .collect()
+    )
+    bitmap = np.zeros(slots // 8, np.uint8)
+    for part, bits in parts:
+        bitmap[part * 4096 : (part + 1) * 4096] = np.frombuffer(bytes(bits), np.uint8)
+    return slots, bitmap
 
 
 def _linked(members: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
@@ -287,14 +322,9 @@ def _linked(members: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
         labels = joined_labels(labels, _confirmed(stars, sets, near))
     places = written(_places(members, labels), "places")
     likely = written(places.mapInArrow(_likely(near), "bucket long, block int, node long"), "likely")
-    of_node = members.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
-    rows = (
-        places.join(likely.distinct(), ["bucket", "block", "node"], "left_semi")
-        .join(of_node, "node")
-        .join(sets, "node")
-    )
+    rows = places.join(likely, ["bucket", "block", "node"], "left_semi").join(sets, "node")
     links = (
-        rows.select(*_PLACE_COLUMNS, "buckets", "shingles")
+        rows.select(*_PLACE_COLUMNS, "shingles")
         .repartition("bucket", "block")
         .sortWithinPartitions("bucket", "block", "asks", "node")
         .mapInArrow(_links(near), "a long, b long")
@@ -312,7 +342,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame
     return written(links.select("a", "b"), "links")
 
 
-_PLACE_COLUMNS = ["bucket", "block", "node", "label", "signature", "asks"]
+_PLACE_COLUMNS = ["bucket", "block", "node", "label", "signature", "buckets", "asks"]
 
 
 def _places(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -348,11 +378,12 @@ def _places(members: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[list[tuple[int, int]]]:
     """Rows that ask and rows asked about, of groups of (bucket, block), if their
     estimate may be right and they are in different components.
 
-    Of two rows that both ask about each other the larger node does.
+    Of two rows that both ask about each other the larger node does. Documents
+    that share several buckets are a pair in the first of them.
     """
     wanted = near.percent / 100 - MARGIN
     most_unlike = int(MINIMA * (1 - wanted) * (1 - 2.0**-BITS))
@@ -360,7 +391,9 @@ def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[tuple[np.ndarra
     node, label, asks = (table.column(c).to_numpy() for c in ("node", "label", "asks"))
     words = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64)
     words = words.reshape(table.num_rows, -1)
+    held = [frozenset(x) for x in table.column("buckets").to_pylist()]
     for first, last in zip(starts, starts[1:]):
+        here = table.column("bucket")[first].as_py()
         split = first + int(np.count_nonzero(~asks[first:last]))
         base = slice(first, split)
         also = np.isin(node[base], node[split:last])
@@ -369,17 +402,19 @@ def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[tuple[np.ndarra
             likely = differing(words[ask], words[base]) <= most_unlike
             likely &= label[ask, None] != label[None, base]
             likely &= ~also[None, :] | (node[None, base] < node[ask, None])
-            i, j = np.nonzero(likely)
-            if len(i):
-                yield at + i, first + j
+            i, j = (x.tolist() for x in np.nonzero(likely))
+            pairs = [(at + x, first + y) for x, y in zip(i, j)]
+            pairs = [(x, y) for x, y in pairs if min(held[x] & held[y]) == here]
+            if pairs:
+                yield pairs
 
 
 def _likely(near: Similarity):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ("bucket", "block")):
             involved = np.zeros(table.num_rows, bool)
-            for i, j in _likely_pairs(table, near):
-                involved[i] = involved[j] = True
+            for pairs in _likely_pairs(table, near):
+                involved[np.unique(np.array(pairs))] = True
             rows = table.select(["bucket", "block", "node"]).filter(pa.array(involved))
             yield from rows.to_batches()
 
@@ -387,16 +422,12 @@ def _likely(near: Similarity):
 
 
 def _links(near: Similarity):
-    """Links that the full sets confirm, fewest that join what is linked here.
-
-    Two documents that share several buckets are judged in the first of them.
-    """
+    """Links that the full sets confirm, no more than join what is linked here."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ("bucket", "block")):
             node, bucket = table.column("node").to_numpy(), table.column("bucket").to_numpy()
             label = table.column("label").to_pylist()
-            shared_buckets = [set(x) for x in table.column("buckets").to_pylist()]
             shingles = table.column("shingles").combine_chunks()
             ends = shingles.offsets.to_numpy()
             values = shingles.values.to_numpy()
@@ -409,11 +440,11 @@ def _links(near: Similarity):
                 return of
 
             links = []
-            for i, j in _likely_pairs(table, near):
-                for x, y in zip(i.tolist(), j.tolist()):
+            for pairs in _likely_pairs(table, near):
+                for x, y in pairs:
                     here = int(bucket[x])
                     one, other = root((here, label[x])), root((here, label[y]))
-                    if one == other or min(shared_buckets[x] & shared_buckets[y]) != here:
+                    if one == other:
                         continue
                     if _near(values[ends[x] : ends[x + 1]], values[ends[y] : ends[y + 1]], near):
                         joined[one] = other
