@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import parts
+from acquaint.llm.shared import parts, pieces_of
 
 #: After these a piece ends; the text between them is a leaf.
 _CUTS = (b"\n", b". ", b"! ", b"? ", b"e ", b"s ")
@@ -177,7 +177,7 @@ def _dealt(firsts: np.ndarray):
     ranges = len(firsts)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             ids = batch.column("id").to_numpy()
             at = ranges - 1 - np.searchsorted(rising, ids, side="left")
             first = np.flatnonzero(rising[ranges - 1 - at] == ids)
@@ -210,21 +210,19 @@ def _dealt(firsts: np.ndarray):
 def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row with the one after it; one document is held at a time."""
     held: tuple[int, int, str, Tree] | None = None
-    for batch in batches:
-        for at in range(0, batch.num_rows, 128):
-            out = []
-            part = batch.slice(at, 128)
-            columns = (part.column(c).to_pylist() for c in ("range", "ahead", "id", "size", "packed"))
-            for number, ahead, id_, size, packed in zip(*columns):
-                if ahead and (held is None or held[0] != number):
-                    continue  # another row of the id that follows
-                text = pa.decompress(packed, size, "zstd", asbytes=True)
-                now = (number, id_, text.decode(), tree(text))
-                if held is not None:
-                    out.append(_compared(held, now))
-                held = None if ahead else now
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _ARROW)
+    for batch in pieces_of(batches, 128):
+        out = []
+        columns = (batch.column(c).to_pylist() for c in ("range", "ahead", "id", "size", "packed"))
+        for number, ahead, id_, size, packed in zip(*columns):
+            if ahead and (held is None or held[0] != number):
+                continue  # another row of the id that follows
+            text = pa.decompress(packed, size, "zstd", asbytes=True)
+            now = (number, id_, text.decode(), tree(text))
+            if held is not None:
+                out.append(_compared(held, now))
+            held = None if ahead else now
+        if out:
+            yield pa.RecordBatch.from_pylist(out, _ARROW)
 
 
 _ARROW = pa.schema(

@@ -33,7 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acquaint.llm.minhash import mixed
-from acquaint.llm.shared import encoded, group_starts, parts, slices, whole_groups, written
+from acquaint.llm.shared import (
+    encoded,
+    group_starts,
+    parts,
+    pieces_of,
+    slices,
+    whole_groups,
+    written,
+)
 
 LENGTH = 100
 
@@ -43,6 +51,9 @@ GRAM = 32
 #: Stretches of a gram that are brought into suffix order in one task.
 MOST_STRETCHES = 4096
 
+#: Bytes of text whose stretches are compared in a task before they are sent on.
+PORTION_BYTES = 8_000_000
+
 #: Stands for a null doc_id, before all others.
 NULL_ID = -(2**63)
 
@@ -81,7 +92,7 @@ def shortened_documents(documents: DataFrame) -> DataFrame:
     schema = joined.schema
 
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             texts = batch.column("text").to_pylist()
             for at, spans in enumerate(batch.column("spans").to_pylist()):
                 if spans:
@@ -189,7 +200,7 @@ def stretches(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _anchors(cells: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             ids = batch.column("id").to_numpy()
             versions = batch.column("version").to_numpy()
             rank = np.empty(len(ids), np.int64)
@@ -222,6 +233,11 @@ def _anchors(cells: int):
                 ["cell", "stretches"],
             )
 
+    def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in slices(encoded(batch.column("text"))[1], PORTION_BYTES):
+                yield batch.slice(first, last - first)
+
     return found
 
 
@@ -318,7 +334,7 @@ def _compressed(rows: DataFrame) -> DataFrame:
     """Rows with their UTF-8 text compressed, to be shuffled by id."""
 
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             packed = [pa.compress(t, "zstd", asbytes=True) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -342,9 +358,8 @@ def _fetched(rows: DataFrame, open_: DataFrame) -> DataFrame:
     joined = _compressed(rows).join(gathered, ["id", "version"])
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                yield _stretch_rows(batch.slice(at, 64))
+        for batch in pieces_of(batches, 64):
+            yield _stretch_rows(batch)
 
     return joined.mapInArrow(
         taken, "gram long, id long, version int, lo int, place int, stretch binary"
@@ -376,7 +391,7 @@ def _suffix_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         first = 0
         for next_, end in zip(starts[1:], [*starts[2:], None]):
             # Several small groups at once; equal windows have equal grams.
-            if end is None or end - first > 2 * MOST_STRETCHES:
+            if end is None or end - first > MOST_STRETCHES:
                 yield _repeats(table.slice(first, next_ - first))
                 first = next_
 
@@ -495,10 +510,8 @@ def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
     joined = _compressed(rows).join(_gathered(spans), ["id", "version"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                yield _kept_rows(part)
+        for batch in pieces_of(batches, 256):
+            yield _kept_rows(batch)
 
     return joined.mapInArrow(
         cut,

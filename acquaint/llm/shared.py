@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one step of a vectorised operator holds at once.
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -77,6 +77,13 @@ def slices(bounds: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         start = end
 
 
+def pieces_of(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, where each becomes Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def whole_groups(
     batches: Iterable[pa.RecordBatch], key: Sequence[str]
 ) -> Iterator[pa.Table]:
