@@ -9,7 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 
-#: Distinct pieces that a worker remembers before it starts afresh; memory only.
+#: Distinct pieces that a worker remembers before it forgets the rare ones.
 MOST_PIECES = 400_000
 
 
@@ -30,13 +30,26 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._numbers: defaultdict[str, int] = defaultdict()
-        self._numbers.default_factory = self._numbers.__len__
+        self._remember({})
         self._starts = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint32)
+        self._uses = np.zeros(0, np.int64)
+
+    def _remember(self, numbers: dict[str, int]) -> None:
+        self._numbers = defaultdict(None, numbers)
+        self._numbers.default_factory = self._numbers.__len__
+
+    def _forget(self) -> None:
+        """Keep the pieces used most, a quarter at most; of equally used ones the first."""
+        order = np.argsort(-self._uses, kind="stable")[: MOST_PIECES // 4]
+        kept = np.sort(order[self._uses[order] > 1])
+        pieces = list(self._numbers)
+        self._remember({pieces[k]: n for n, k in enumerate(kept.tolist())})
+        lengths = np.diff(self._starts)[kept]
+        to = np.cumsum(lengths)
+        at = np.repeat(self._starts[kept] - (to - lengths), lengths) + np.arange(int(lengths.sum()))
+        self._ids, self._uses = self._ids[at], self._uses[kept]
+        self._starts = np.concatenate(([0], to))
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         done = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -63,6 +76,9 @@ class PieceTokenizer:
         numbers = np.fromiter(map(self._numbers.__getitem__, pieces), np.int64, len(pieces))
         if len(self._numbers) > known:
             self._learn(list(self._numbers)[known:])
+        uses = np.bincount(numbers, minlength=len(self._numbers))
+        uses[: len(self._uses)] += self._uses
+        self._uses = uses
         lengths = self._starts[numbers + 1] - self._starts[numbers]
         to = np.cumsum(lengths)
         at = np.repeat(self._starts[numbers] - (to - lengths), lengths)

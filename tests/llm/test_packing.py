@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from acquaint.llm import tokens
 from acquaint.llm.packing import Packing, pack_documents, place
 from acquaint.llm.queries import tokenizer_path
 from acquaint.llm.tokens import PieceTokenizer
@@ -88,3 +89,12 @@ def test_remembered_pieces_give_the_ids_of_the_whole(plain, text):
     texts = [text, prose(3, 50), text, "x" + text + "y z", text + " end"]
     found = tokenizer.encode(texts)
     assert [f.tolist() for f in found] == [ids(plain, t)[:-1] for t in texts]
+
+
+def test_forgetting_changes_nothing(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_PIECES", 40)
+    tokenizer = PieceTokenizer(tokenizer_path())
+    for seed in range(30):
+        texts = [prose(seed, 25, 60), "the same piece", prose(seed % 3, 9)]
+        assert [f.tolist() for f in tokenizer.encode(texts)] == [ids(plain, t)[:-1] for t in texts]
+    assert len(tokenizer._numbers) < 200
