@@ -7,7 +7,6 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from acquaint.operators import spread
 from tests.helpers import elite, friend, review, rows, tables, user
 
 ids = st.sampled_from(["a", "b", "c", "it's", None])
@@ -63,8 +62,7 @@ def expected_dangling(network) -> Counter:
 
 def expected_friend_counts(network) -> Counter:
     links = Counter(f["user_id"] for f in network["friend"])
-    user_ids = {u["user_id"] for u in network["user"]}
-    return Counter((i, 0 if i is None else links[i]) for i in user_ids)
+    return Counter((i, links[i]) for i in known_users(network))
 
 
 def expected_profiles(network) -> Counter:
@@ -97,19 +95,12 @@ def expected_reviews_of_elite(network) -> Counter:
 @settings(
     max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
-@given(network=networks, cut_groups=st.booleans())
-def test_random_networks(spark, network, cut_groups):
+@given(network=networks, by_hand=st.booleans())
+def test_random_networks(spark, network, by_hand):
     t = tables(spark, **network)
-    before = spread.MIN_HOT_ROWS
-    spread.MIN_HOT_ROWS = 1 if cut_groups else before
-    try:
-        assert rows(t.friend_names()) == expected_names(network)
-        assert rows(t.dangling_friends()) == expected_dangling(network)
-        assert rows(t.friend_counts()) == expected_friend_counts(network)
-        assert rows(t.profiles()) == expected_profiles(network)
-        found = t.reviews_of_all(t.elites_in(2001).select("user_id"))
-        assert rows(found.select("user_id", "review_id", "stars")) == expected_reviews_of_elite(
-            network
-        )
-    finally:
-        spread.MIN_HOT_ROWS = before
+    assert rows(t.friend_names(by_hand)) == expected_names(network)
+    assert rows(t.dangling_friends(by_hand)) == expected_dangling(network)
+    assert rows(t.friend_counts()) == expected_friend_counts(network)
+    assert rows(t.profiles()) == expected_profiles(network)
+    found = t.reviews_of_all(t.elites_in(2001).select("user_id"), by_hand)
+    assert rows(found.select("user_id", "review_id", "stars")) == expected_reviews_of_elite(network)
