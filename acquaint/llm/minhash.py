@@ -43,6 +43,9 @@ BLOCK = 512
 #: Bits of the bitmap that is broadcast: 8 MB, however many documents there are.
 MOST_BITS = 1 << 26
 
+#: With fewer bits a node the bitmap lets too much pass.
+SLOTS_PER_NODE = 4
+
 _M = np.uint64(0xD6E8FEB86659FD93)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -264,12 +267,14 @@ def _members(classes: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame:
-    """The full sets of documents that share a bucket with another.
+    """The full sets of documents that share a bucket with another, and of few others.
 
-    A bitmap of their hashes leaves most other documents out before anything is
-    shuffled; the join is exact.
+    A bitmap of their hashes leaves most other documents out; sets that it lets
+    pass by chance meet nothing later. Where it is too full for that, a join
+    leaves them out.
     """
-    slots, bitmap = _bitmap(nodes)
+    nodes_there = nodes.count()
+    slots, bitmap = _bitmap(nodes, nodes_there)
     sent = documents.sparkSession.sparkContext.broadcast(bitmap)
     node = F.col("doc_id").cast("long")
     rows = documents.select(
@@ -292,14 +297,13 @@ def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame
                     ["node", "shingles"],
                 )
 
-    return rows.mapInArrow(whole_sets, "node long, shingles array<long>").join(
-        nodes, "node", "left_semi"
-    )
+    sets = rows.mapInArrow(whole_sets, "node long, shingles array<long>")
+    return sets if SLOTS_PER_NODE * nodes_there <= slots else sets.join(nodes, "node", "left_semi")
 
 
-def _bitmap(nodes: DataFrame) -> tuple[int, np.ndarray]:
+def _bitmap(nodes: DataFrame, there: int) -> tuple[int, np.ndarray]:
     """Number of bits, at most ``MOST_BITS``, and those of the nodes' hashes."""
-    slots = 1 << min(MOST_BITS.bit_length() - 1, max(15, (16 * nodes.count()).bit_length()))
+    slots = 1 << min(MOST_BITS.bit_length() - 1, max(15, (16 * there).bit_length()))
     slot = F.pmod(F.xxhash64("node"), F.lit(slots))
     parts = (
         nodes.groupBy(F.shiftright(slot, 15).alias("part"))

@@ -69,7 +69,9 @@ def test_hard_rows(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
 
 
-def test_groups_of_near_copies(spark):
+@pytest.mark.parametrize("slots", [4, 10**9])
+def test_groups_of_near_copies(spark, monkeypatch, slots):
+    monkeypatch.setattr(minhash, "SLOTS_PER_NODE", slots)
     draw = random.Random(3)
     rows = [(1000 + i, prose(i, 30 + i)) for i in range(40)]
     for group in range(12):

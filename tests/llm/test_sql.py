@@ -1,0 +1,21 @@
+"""Queries that SQL can express, against another engine on whole tables."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from acquaint.llm import queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_sql(name, spark, sf_dir):
+    connection = duckdb.connect()
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    result = queries.QUERIES[name](spark, sf_dir)
+    expected = connection.execute(queries.ORACLES[name])
+    assert [c[0] for c in expected.description] == result.columns
+    assert sorted(map(str, map(tuple, result.collect()))) == sorted(map(str, expected.fetchall()))
