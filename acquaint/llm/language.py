@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import encoded, slices
+from acquaint.llm.shared import encoded, giving_back, slices
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -100,6 +100,7 @@ def identify(
     )
     frozen = tuple(learned)
 
+    @giving_back
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = cross_parser(frozen)
         for batch in batches:

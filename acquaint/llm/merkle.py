@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import parts, pieces_of
+from acquaint.llm.shared import giving_back, parts, pieces_of
 
 #: After these a piece ends; the text between them is a leaf.
 _CUTS = (b"\n", b". ", b"! ", b"? ", b"e ", b"s ")
@@ -176,6 +176,7 @@ def _dealt(firsts: np.ndarray):
     rising = firsts[::-1].copy()
     ranges = len(firsts)
 
+    @giving_back
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             ids = batch.column("id").to_numpy()
@@ -207,6 +208,7 @@ def _dealt(firsts: np.ndarray):
     return dealt
 
 
+@giving_back
 def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row with the one after it; one document is held at a time."""
     held: tuple[int, int, str, Tree] | None = None

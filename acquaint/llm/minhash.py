@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acquaint.llm.components import connected, joined_labels
-from acquaint.llm.shared import encoded, group_starts, slices, whole_groups, written
+from acquaint.llm.shared import encoded, giving_back, group_starts, slices, whole_groups, written
 
 BANDS, ROWS, BITS = 28, 4, 4
 MINIMA = BANDS * ROWS
@@ -152,6 +152,7 @@ def described(documents: DataFrame, near: Similarity) -> DataFrame:
     """doc_id, n_shingles, set hashes, signature, bucket names and the set itself."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
+    @giving_back
     def described_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, ids = batch.column("text"), batch.column("doc_id")
@@ -281,6 +282,7 @@ def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame
         node.alias("node"), F.pmod(F.xxhash64(node), F.lit(slots)).alias("slot"), "text"
     )
 
+    @giving_back
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = batch.column("slot").to_numpy()
@@ -414,6 +416,7 @@ def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[list[tuple[int,
 
 
 def _likely(near: Similarity):
+    @giving_back
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ("bucket", "block")):
             involved = np.zeros(table.num_rows, bool)
@@ -428,6 +431,7 @@ def _likely(near: Similarity):
 def _links(near: Similarity):
     """Links that the full sets confirm, no more than join what is linked here."""
 
+    @giving_back
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ("bucket", "block")):
             node, bucket = table.column("node").to_numpy(), table.column("bucket").to_numpy()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from acquaint.llm.shared import encoded, slices
+from acquaint.llm.shared import encoded, giving_back, slices
 from acquaint.llm.tokens import piece_tokenizer
 
 SCHEMA = (
@@ -64,6 +64,7 @@ def pack_documents(
         documents[text_column].alias("text"),
     )
 
+    @giving_back
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = piece_tokenizer(tokenizer_path)
         end = np.array([packing.end_id], np.uint32)

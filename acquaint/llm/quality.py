@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import encoded, slices
+from acquaint.llm.shared import encoded, giving_back, slices
 
 FEATURES = (
     "chars",
@@ -167,6 +167,7 @@ def learning_rows(
     # About learning.rows ids, so their size is bounded whatever the tables hold.
     rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
 
+    @giving_back
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last in slices(encoded(batch.column("text"))[1]):
@@ -293,6 +294,7 @@ def score_documents(documents: DataFrame, model: AdditiveModel, held_out: Column
         F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text"
     )
 
+    @giving_back
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = score_texts(model, batch.column("text"))
@@ -312,6 +314,7 @@ def score_documents(documents: DataFrame, model: AdditiveModel, held_out: Column
 def accepted_documents(documents: DataFrame, model: AdditiveModel) -> DataFrame:
     """The rows, with all their columns, that the model does not reject."""
 
+    @giving_back
     def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = score_texts(model, batch.column("text")) >= THRESHOLD

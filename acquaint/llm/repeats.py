@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from acquaint.llm.minhash import mixed
 from acquaint.llm.shared import (
     encoded,
+    giving_back,
     group_starts,
     parts,
     pieces_of,
@@ -91,6 +92,7 @@ def shortened_documents(documents: DataFrame) -> DataFrame:
     joined = rows.join(spans, ["id", "version"], "left")
     schema = joined.schema
 
+    @giving_back
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             texts = batch.column("text").to_pylist()
@@ -199,6 +201,7 @@ def stretches(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _anchors(cells: int):
+    @giving_back
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             ids = batch.column("id").to_numpy()
@@ -287,6 +290,7 @@ def _unpack(packed: bytes) -> tuple[np.ndarray, ...]:
     return np.repeat(ids, counts), np.repeat(versions, counts), lo, hi, place, repeat, *whole
 
 
+@giving_back
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Covered stretches (gram null) and those left open, of each cell."""
     for table in whole_groups(batches, ("cell",)):
@@ -333,6 +337,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compressed(rows: DataFrame) -> DataFrame:
     """Rows with their UTF-8 text compressed, to be shuffled by id."""
 
+    @giving_back
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
@@ -357,6 +362,7 @@ def _fetched(rows: DataFrame, open_: DataFrame) -> DataFrame:
     )
     joined = _compressed(rows).join(gathered, ["id", "version"])
 
+    @giving_back
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, 64):
             yield _stretch_rows(batch)
@@ -384,6 +390,7 @@ def _stretch_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
+@giving_back
 def _suffix_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows with an earlier equal window, of stretches that share a gram."""
     for table in whole_groups(batches, ("gram",)):
@@ -455,6 +462,7 @@ def _by_window(stretches_: DataFrame) -> DataFrame:
     shuffle, so a passage in any number of documents stays spread out.
     """
 
+    @giving_back
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, bounds = encoded(batch.column("stretch"))
@@ -509,6 +517,7 @@ def _cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """What stays of each document."""
     joined = _compressed(rows).join(_gathered(spans), ["id", "version"], "left")
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, 256):
             yield _kept_rows(batch)

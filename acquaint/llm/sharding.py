@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import group_starts, parts, written
+from acquaint.llm.shared import giving_back, group_starts, parts, written
 
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 8
@@ -87,6 +87,7 @@ def _cell_parts(groups: DataFrame, cell_parts: int, cells: int) -> DataFrame:
     rows = groups.withColumn("cell", F.pmod(F.xxhash64("text_hash"), F.lit(cells)).cast("int"))
     names = [*_GROUP, "bytes", "cell"]
 
+    @giving_back
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each cell's groups come in one run; its chunks wait for the cell's end."""
         held: list[tuple[pa.Table, Partial]] = []

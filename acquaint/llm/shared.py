@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,26 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1_000_000
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def giving_back(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function over batches that hands freed memory back when its task ends.
+
+    Workers live on between tasks, and what their allocators keep counts against
+    the executor's memory while other stages run.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Batches) -> Batches:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; one of its own only where that is unset."""
     context = spark.sparkContext

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import group_starts, parts, whole_groups, written
+from acquaint.llm.shared import giving_back, group_starts, parts, whole_groups, written
 
 RESULT = "query_id long, rank int, vec_id long, score long"
 
@@ -109,6 +109,7 @@ def _blocks(vectors: DataFrame, rows: int, kind: str, name: str) -> DataFrame:
     dealt = F.pmod(F.xxhash64("vec_id", "v", F.spark_partition_id()), cells)
     vectors = vectors.select("vec_id", "v", F.size("v").alias("dim"), dealt.alias("cell"))
 
+    @giving_back
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, ("dim", "cell")):
             starts = [*group_starts(groups, ("dim", "cell")).tolist(), groups.num_rows]
@@ -203,6 +204,7 @@ class _Scores:
 
 
 def _histograms(scores: _Scores, k: int, width: int) -> Callable:
+    @giving_back
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -247,6 +249,7 @@ def _narrowed(found: DataFrame, width: int) -> DataFrame:
 
 
 def _selection(scores: _Scores) -> Callable:
+    @giving_back
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import new_folder, parts, written
+from acquaint.llm.shared import giving_back, new_folder, parts, written
 
 #: Payloads of fewer bytes are always stored in full.
 LEAST_REVISIT = 100
@@ -109,6 +109,7 @@ def write_streams(typed: DataFrame, folder: str) -> DataFrame:
     file_system_, path = file_system(folder)
     file_system_.create_dir(path)
 
+    @giving_back
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         name = f"{folder}/pages-{context.partitionId():06d}.stream.warc.gz"
@@ -137,6 +138,7 @@ def normalise(archives: DataFrame) -> DataFrame:
     ``x.warc.gz.idx`` beside it. Archives are dealt out one by one.
     """
 
+    @giving_back
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
@@ -197,6 +199,7 @@ def read_pages(archives: DataFrame) -> DataFrame:
     stated digest is another one raises an error; a revisit states them itself.
     """
 
+    @giving_back
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
