@@ -1,8 +1,8 @@
 """Document fingerprints: Merkle trees over paragraphs and sections.
 
-A text is cut into paragraphs at line ends and these into pieces at sentence ends
-and at some words, wherever the text is the same the cuts are the same. Pieces are
-the leaves. A paragraph's node is the hash of its leaves, a section's that of its
+A text is cut into paragraphs at line ends and these into pieces of a few bytes at
+places that a hash of the bytes before them picks, in any script and without any
+marks: wherever the text is the same the cuts are the same. Pieces are the leaves. A paragraph's node is the hash of its leaves, a section's that of its
 paragraphs; a section ends with an empty line or a paragraph whose hash says so.
 The root over the sections is the fingerprint. Equal roots mean equal texts;
 where roots differ, the branches that differ locate the edits.
@@ -11,7 +11,6 @@ where roots differ, the branches that differ locate the edits.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -24,11 +23,12 @@ from pyspark.sql import functions as F
 
 from acquaint.llm.shared import giving_back, parts, pieces_of
 
-#: After these a piece ends; the text between them is a leaf.
-_CUTS = (b"\n", b". ", b"! ", b"? ", b"e ", b"s ")
+#: A piece ends where the hash of the 4 bytes SPAN places back is the smallest since.
+#: A text that repeats itself has such a place in each period. SPAN is a power of 2.
+SPAN = 8
 
-#: The same for texts that hold the mark itself, which is cut after too.
-_PIECE = re.compile(rb".*?(?:\n|[.!?es] |\0|$)", re.DOTALL)
+#: Bytes of a piece: fewer only at line ends and the text's end, never more.
+SMALLEST, LARGEST = 4, 32
 
 #: Stands for a null doc_id, after all others in descending order.
 NULL_ID = -(2**63)
@@ -56,11 +56,45 @@ class Tree:
 
 def pieces(text: bytes) -> list[bytes]:
     """The leaves' bytes; joined they are the text."""
-    if b"\0" in text:
-        return [piece for piece in _PIECE.findall(text) if piece]
-    for cut in _CUTS:
-        text = text.replace(cut, cut + b"\0")
-    return [piece for piece in text.split(b"\0") if piece]
+    ends = _ends(text)
+    return [text[start:end] for start, end in zip([0, *ends], ends)]
+
+
+def _ends(text: bytes) -> list[int]:
+    """Where the leaves end; characters of UTF-8 are not cut.
+
+    An end depends on the bytes before it only, so an edit moves none before it.
+    """
+    size = len(text)
+    data = np.frombuffer(text, np.uint8)
+    mixed = np.ndarray(size, "<u4", b"\0\0\0" + text, strides=(1,)) * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0x85EBCA6B)
+    least, span = mixed, 1
+    while span < SPAN:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    allowed = np.zeros(size + 1, bool)
+    allowed[SPAN:] = mixed[: len(least)] == least
+    within = np.zeros(size + 1, bool)
+    within[:size] = data & 0xC0 == 0x80
+    for _ in range(3):  # on to the end of the character
+        allowed[1:] |= allowed[:-1] & within[:-1]
+    allowed &= ~within
+    lines = np.zeros(size + 1, bool)
+    lines[1:] = data == 10
+    found: list[int] = []
+    start = 0
+    at = np.flatnonzero(allowed | lines)
+    for end, line in zip([*at.tolist(), size], [*lines[at].tolist(), True]):
+        while end - start > LARGEST:
+            start += LARGEST
+            start -= next((n for n in range(4) if not within[start - n]), 0)
+            found.append(start)
+        if end - start >= SMALLEST or (line and end > start):
+            found.append(end)
+            start = end
+    return found
 
 
 def _node(kind: bytes, children: Iterable[bytes]) -> bytes:

@@ -72,3 +72,34 @@ def test_differing_branches_locate_the_edit():
         assert start <= at < start + one.sizes[leaf] + 2
         assert 0.9 < merkle.likeness(one, other) < 1
     assert merkle.likeness(one, merkle.tree(b"# " + text)) > 0.95
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Gechschen " * 66,
+        "ABCDEFGHIJKLMNOP" * 50,
+        "".join(random.Random(1).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=900)),
+        "".join(map(chr, random.Random(2).choices(range(0x4E00, 0x5E00), k=400))),
+        "".join(map(chr, random.Random(3).choices(range(0xE01, 0xE2F), k=400))),
+        "\U0001f600" * 200,
+        "a" * 500,
+    ],
+    ids=["one word", "capitals", "base64", "Han", "Thai", "emoji", "one letter"],
+)
+def test_unchanged_part_is_found_in_any_text(text):
+    """Two thirds are unchanged, and all of it behind a short insertion."""
+    own = merkle.tree(text.encode())
+    kept = text[: len(text) - len(text) // 3]
+    changed = (kept + "#?%" * (len(text) // 9)).encode()
+    unlike = merkle.tree(("#?%" * (len(text) // 3)).encode())
+    both = len(text.encode()) + len(changed)
+    other = merkle.tree(changed)
+    shared = 2 * (len(kept.encode()) - merkle.LARGEST) / both
+    assert merkle.likeness(own, other) >= shared > 0.5
+    assert len(kept.encode()) - merkle.LARGEST < merkle.first_difference(own, other) <= len(kept.encode())
+    assert merkle.likeness(own, unlike) == 0
+    assert merkle.likeness(own, merkle.tree(b"%$ " + text.encode())) > 0.75
+    for piece in merkle.pieces(text.encode()):
+        assert len(piece) <= merkle.LARGEST
+        piece.decode()
