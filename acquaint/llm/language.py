@@ -55,31 +55,43 @@ def learned_texts(
 ) -> list[tuple[str, str]]:
     """A bounded sample of labelled text for each language, in the languages' order.
 
-    Documents of up to ``document_chars`` are taken whole, in the order of a hash
-    of their text, at most ``language_documents`` a language and up to
+    Distinct documents of up to ``document_chars`` are taken whole, in the order of
+    a hash of their text, at most ``language_documents`` a language and up to
     ``language_chars``; longer ones only where a language has too few of those.
-    Spark keeps that many of a language in each task before it compares tasks.
+    Copies count once: sizes and hashes are chosen from first, in which Spark keeps
+    that many of a language in each task before it compares tasks, and then texts
+    are fetched for those.
     """
-    first = Window.partitionBy("lang").orderBy("size", "mixed", "sample")
     rows = (
         documents.where(learnable)
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
         .select(
             F.col("lang").cast("string").alias("lang"),
-            F.xxhash64("text").alias("mixed"),
             F.greatest(F.length("text"), F.lit(learning.document_chars)).alias("size"),
+            F.xxhash64("text").alias("mixed"),
             F.substring("text", 1, learning.language_chars).alias("sample"),
         )
+    )
+    key = ["lang", "size", "mixed"]
+    first = Window.partitionBy("lang").orderBy("size", "mixed")
+    chosen = (
+        rows.select(*key)
+        .distinct()
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= learning.language_documents)
+    )
+    found = (
+        rows.join(F.broadcast(chosen), key)
+        .groupBy(*key, "n")
+        .agg(F.min("sample").alias("sample"))
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("n", "sample"))).alias("found"))
         .select("lang", F.col("found.sample").alias("samples"))
         .collect()
     )
-    most = min(learning.language_chars, learning.all_chars // max(1, len(rows)))
-    found = {r["lang"]: "\n".join(r["samples"])[:most] for r in rows}
-    return sorted((lang, text) for lang, text in found.items() if text.strip())
+    most = min(learning.language_chars, learning.all_chars // max(1, len(found)))
+    texts = {r["lang"]: "\n".join(r["samples"])[:most] for r in found}
+    return sorted((lang, text) for lang, text in texts.items() if text.strip())
 
 
 def identify(

@@ -72,3 +72,11 @@ def test_held_out_accuracy(spark, sf_dir):
     found = op1_language(spark, sf_dir).join(truth, "doc_id").where("held_out")
     right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert right > 0.97
+
+
+def test_copies_count_once_in_what_is_learned(spark):
+    """Groups of 70 copies each, more than the documents that are learned."""
+    texts = [f"text number {n} of a language" for n in range(20)]
+    rows = documents(spark, [(n, text, "en") for n, text in enumerate(texts * 70)])
+    (learned,) = language.learned_texts(rows, F.lit(True))
+    assert sorted(learned[1].split("\n")) == sorted(texts)
