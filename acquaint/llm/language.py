@@ -10,7 +10,10 @@ estimates bits a character (a cross entropy), and the smallest wins.
 Texts are lower-cased; runs of anything but letters count as one separator.
 Parses start anew every ``PARSED_TOGETHER`` symbols, so that all texts of a
 batch, long or short, are parsed side by side: each step looks up the next
-state of every stretch in every language's table at once.
+state of every stretch in many languages at once.
+
+Every letter of the learned texts has a symbol of its own, in any script. Only
+transitions that a language has are stored, so a letter it never saw ends a phrase.
 """
 
 from __future__ import annotations
@@ -33,8 +36,8 @@ UNDETERMINED = "und"
 #: Symbols of a text that are parsed without a new start.
 PARSED_TOGETHER = 512
 
-#: Letters with a symbol of their own; the rest share one. 0 is the separator.
-MOST_LETTERS = 62
+#: States that are followed, and results that are held, at once.
+STATES_TOGETHER, RESULTS_TOGETHER = 500_000, 4_000_000
 
 #: Bits a character by which a language must be worse to weigh e times less.
 SCORE_BITS = 0.1
@@ -42,10 +45,9 @@ SCORE_BITS = 0.1
 
 @dataclass(frozen=True)
 class Learning:
-    """Bounds of what is learned: characters a language, and of all languages."""
+    """Bounds of what is learned of each language."""
 
     language_chars: int = 24_000
-    all_chars: int = 480_000
     document_chars: int = 3_000
     language_documents: int = 64
 
@@ -89,7 +91,7 @@ def learned_texts(
         .select("lang", F.col("found.sample").alias("samples"))
         .collect()
     )
-    most = min(learning.language_chars, learning.all_chars // max(1, len(found)))
+    most = learning.language_chars
     texts = {r["lang"]: "\n".join(r["samples"])[:most] for r in found}
     return sorted((lang, text) for lang, text in texts.items() if text.strip())
 
@@ -157,35 +159,82 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return to
 
 
+class Transitions:
+    """Values by whole-numbered keys, looked up side by side.
+
+    Each key is in one of two places that hashes of it name (cuckoo hashing).
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        draw = np.random.default_rng(17)
+        self._size = np.uint64(5 * len(keys) // 2 + 16)
+        held = None
+        while held is None:
+            self._factors = draw.integers(1, 2**63, 2, np.uint64) * np.uint64(2) + np.uint64(1)
+            held = self._held(keys)
+        self._keys = np.where(held < 0, -1, keys[held]) if len(keys) else held
+        self._values = values[held] if len(keys) else held
+
+    def _place(self, keys: np.ndarray, which: int) -> np.ndarray:
+        at = keys.astype(np.uint64)
+        at *= self._factors[which]
+        at >>= np.uint64(32)
+        at *= self._size
+        at >>= np.uint64(32)
+        return at.view(np.int64)
+
+    def _held(self, keys: np.ndarray) -> np.ndarray | None:
+        """The number of the key in each place, -1 for none; None if keys go in circles."""
+        places = np.stack([self._place(keys, which) for which in (0, 1)])
+        held = np.full(int(self._size), -1)
+        which = np.zeros(len(keys), np.int8)
+        pending = np.arange(len(keys))
+        for _ in range(200):
+            if not len(pending):
+                return held
+            at = places[which[pending], pending]
+            driven = np.unique(held[at])
+            held[at] = pending
+            pending = np.concatenate((pending[held[at] != pending], driven[driven >= 0]))
+            which[pending] ^= 1
+        return None
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys' values, and which keys have none; their values mean nothing."""
+        at = self._place(keys, 0)
+        other = self._place(keys, 1)
+        np.copyto(at, other, where=self._keys[at] != keys)
+        return self._values[at], self._keys[at] != keys
+
+
 class CrossParser:
     """Parses texts against the learned text of every language at once."""
 
     def __init__(self, learned: tuple[tuple[str, str], ...]) -> None:
         self.languages = [language for language, _ in learned]
         texts = [_code_points(sample.lower()) for _, sample in learned]
-        self._symbol = _symbols(np.concatenate([np.zeros(0, np.uint32), *texts]))
-        self._width = MOST_LETTERS + 2
-        tables, bits, states = [], [], 0
-        for text in texts:
+        self._symbol, self._width = _symbols(np.concatenate([np.zeros(0, np.uint32), *texts]))
+        # A state stands for the number of its first key; a key for a state and a symbol.
+        keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        bits, starts, states = [], [], 0
+        # Where no match goes on, the next phrase begins with the symbol if it can.
+        self._fresh = np.zeros((len(texts), self._width), np.int64)
+        for number, text in enumerate(texts):
             symbols = _squeezed(self._symbol[text])
             to = suffix_automaton(symbols.tolist())
-            at = np.repeat(np.arange(len(to)), [len(x) for x in to])
+            at = np.repeat(np.arange(len(to)), [len(x) for x in to]) + states
             by = np.fromiter((s for x in to for s in x), np.int64, len(at))
             then = np.fromiter((t for x in to for t in x.values()), np.int64, len(at))
-            # The next state and, in the two low bits, the phrases that end. Where no
-            # match goes on, one ends and the next begins; a symbol that is in no
-            # match is a phrase of its own, after which nothing has begun.
-            begun = at == 0
-            fresh = np.full(self._width, 4 * states * self._width + 2)
-            fresh[by[begun]] = 4 * (then[begun] + states) * self._width + 1
-            table = np.repeat(fresh[None, :], len(to), axis=0)
-            table[0] = 4 * states * self._width + 1
-            table[at, by] = 4 * (then + states) * self._width
-            tables.append(table)
+            then = (then + states) * self._width
+            keys.append(at * self._width + by)
+            values.append(then)
+            self._fresh[number] = states * self._width
+            self._fresh[number, by[at == states]] = then[at == states]
             bits.append(np.log2(max(2, len(symbols))))
-            self._starts = getattr(self, "_starts", []) + [states * self._width]
+            starts.append(states * self._width)
             states += len(to)
-        self._table = np.concatenate(tables).ravel().astype(np.int32) if tables else None
+        self._next = Transitions(np.concatenate(keys), np.concatenate(values))
+        self._starts = np.array(starts, np.int64)
         self._bits = np.array(bits)
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,35 +261,54 @@ class CrossParser:
         size = np.minimum(PARSED_TOGETHER, symbols[text_of] - nth * PARSED_TOGETHER)
         order = np.argsort(-size, kind="stable")
         begin, size, text_of = begin[order], size[order], text_of[order]
-        languages = len(self.languages)
-        state = np.repeat(np.array(self._starts, np.int32)[:, None], len(begin), axis=1)
-        count = np.zeros((languages, len(begin)), np.int32)
         running = np.searchsorted(-size, -np.arange(1, PARSED_TOGETHER + 1), side="right")
-        symbol = symbol.astype(np.int32)
-        for step in range(int(size.max(initial=0))):
-            n = int(running[step])
-            now = state[:, :n]
-            now += symbol[begin[:n] + step]
-            now[...] = self._table[now]
-            count[:, :n] += now & 3
-            now >>= 2
-        count += state != np.array(self._starts, np.int32)[:, None]
-        found = np.stack(
-            [np.bincount(text_of, weights=c, minlength=len(texts)) for c in count]
-        )
+        symbol = symbol.astype(np.int64)
+        found = np.zeros((len(self.languages), len(texts)))
+        together = max(1, STATES_TOGETHER // max(1, len(begin)))
+        for a in range(0, len(self.languages), together):
+            count = self._counted(slice(a, a + together), symbol, begin, running[: size.max(initial=0)])
+            for language, c in enumerate(count, a):
+                found[language] = np.bincount(text_of, weights=c, minlength=len(texts))
         return found, symbols, letters
 
+    def _counted(
+        self, languages: slice, symbol: np.ndarray, begin: np.ndarray, running: np.ndarray
+    ) -> np.ndarray:
+        """Phrases of each stretch in each language; the longest stretches come first."""
+        start, fresh = self._starts[languages, None], self._fresh[languages]
+        state = np.repeat(start, len(begin), axis=1)
+        count = np.zeros(state.shape, np.int32)
+        for step, n in enumerate(running.tolist()):
+            now = state[:, :n]
+            by = symbol[begin[:n] + step]
+            then, ends = self._next(now + by)
+            language, at = np.nonzero(ends)
+            # One phrase ends if one has begun; a symbol that is in no match is another.
+            first, own = fresh[language, by[at]], start[language, 0]
+            count[language, at] += (now[language, at] != own).astype(np.int32) + (first == own)
+            then[language, at] = first
+            now[...] = then
+        return count + (state != start)
+
     def predict(self, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
         if not self.languages:
             return pa.array([UNDETERMINED] * len(texts)), pa.array([0.0] * len(texts))
+        most = max(1, RESULTS_TOGETHER // len(self.languages))
+        found = [self._predicted(texts[at : at + most]) for at in range(0, len(texts), most)]
+        chosen, score = zip(*found) if found else ((), ())
+        return (
+            pa.array(np.concatenate([np.zeros(0, object), *chosen]), pa.string()),
+            pa.array(np.concatenate([np.zeros(0), *score])),
+        )
+
+    def _predicted(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         found, symbols, letters = self.phrases(texts)
         entropy = found * self._bits[:, None] / np.maximum(1, symbols)
         best = entropy.argmin(axis=0)
         weight = np.exp(-(entropy - entropy.min(axis=0)) / SCORE_BITS)
         score = np.where(letters, 1 / weight.sum(axis=0), 0.0)
         names = np.array([*self.languages, UNDETERMINED], object)
-        chosen = names[np.where(letters, best, len(self.languages))]
-        return pa.array(chosen, pa.string()), pa.array(score)
+        return names[np.where(letters, best, len(self.languages))], score
 
 
 @functools.lru_cache(maxsize=2)
@@ -257,14 +325,14 @@ def _is_letter() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def _symbols(learned: np.ndarray) -> np.ndarray:
-    """Symbol of every code point: 0 no letter, 1 another letter, 2.. frequent letters."""
+def _symbols(learned: np.ndarray) -> tuple[np.ndarray, int]:
+    """Symbol of every code point, 0 no letter, 1 letter never learned, 2.. learned
+    letters, and the number of symbols."""
     letter = _is_letter()
-    table = letter.astype(np.uint8)
-    points, counts = np.unique(learned[letter[learned]], return_counts=True)
-    frequent = points[np.argsort(-counts, kind="stable")][:MOST_LETTERS]
-    table[frequent] = np.arange(2, 2 + len(frequent))
-    return table
+    table = letter.astype(np.int32)
+    points = np.unique(learned[letter[learned]])
+    table[points] = np.arange(2, 2 + len(points))
+    return table, 2 + len(points)
 
 
 def _squeezed(symbols: np.ndarray) -> np.ndarray:

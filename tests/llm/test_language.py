@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,49 @@ def test_copies_count_once_in_what_is_learned(spark):
     rows = documents(spark, [(n, text, "en") for n, text in enumerate(texts * 70)])
     (learned,) = language.learned_texts(rows, F.lit(True))
     assert sorted(learned[1].split("\n")) == sorted(texts)
+
+
+def test_every_script_has_its_own_letters():
+    """Common scripts of many letters leave none out, rare ones are told apart."""
+    latin, cyrillic = "abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x430, 0x450)))
+    scripts = {
+        "ar": "".join(map(chr, range(0x627, 0x64B))),
+        "en": latin,
+        "hi": "".join(map(chr, range(0x905, 0x939))),
+        "mr": "".join(map(chr, range(0x905, 0x939))),
+        "ru": cyrillic,
+        "ta": "".join(map(chr, (*range(0xB85, 0xB8B), *range(0xB92, 0xB96), *range(0xBAE, 0xBBA)))),
+        "th": "".join(map(chr, range(0xE01, 0xE2F))),
+        "zh": "".join(map(chr, range(0x4E00, 0x5A00))),
+    }
+
+    def prose(lang, seed, words):
+        draw, of = random.Random(lang), random.Random(seed)
+        known = ["".join(draw.choices(scripts[lang], k=5)) for _ in range(200)]
+        return " ".join(of.choices(known, k=words))
+
+    often = {"ar": 4000, "en": 4000, "ru": 4000}
+    learned = tuple((lang, prose(lang, 1, often.get(lang, 600))) for lang in scripts)
+    parser = language.CrossParser(learned)
+    chosen, score = parser.predict([prose(lang, 2, 30) for lang in scripts] + ["\u10d0\u10d1 \u10d2"])
+    assert chosen.to_pylist()[:-1] == list(scripts)
+    assert all(s > 0.9 for s in score.to_pylist()[:-1])
+    text = prose("zh", 3, 20) + " \u10d0 " + prose("hi", 3, 20)
+    found, _, _ = parser.phrases([text])
+    for row, (_, sample) in enumerate(learned):
+        assert found[row, 0] == phrases(symbols(parser, sample), symbols(parser, text))
+
+
+def test_many_languages_learn_all_their_characters(spark, monkeypatch):
+    monkeypatch.setattr(language, "STATES_TOGETHER", 7)
+    monkeypatch.setattr(language, "RESULTS_TOGETHER", 500)
+    texts = {f"l{n:02}": f"{chr(0x4E00 + n)}\u5000 " * 1000 for n in range(40)}
+    rows = documents(spark, [(n, text, lang) for n, (lang, text) in enumerate(texts.items())])
+    learning = language.Learning(language_chars=2500)
+    learned = language.learned_texts(rows, F.lit(True), learning)
+    assert [(lang, len(text)) for lang, text in learned] == [(lang, 2500) for lang in texts]
+    chosen, _ = language.CrossParser(tuple(learned)).predict([text[:60] for text in texts.values()])
+    assert chosen.to_pylist() == list(texts)
+    full = [(n, "x" * 30_000, f"m{n:02}") for n in range(21)]
+    learned = language.learned_texts(documents(spark, full), F.lit(True))
+    assert all(len(text) == 24_000 for _, text in learned)
