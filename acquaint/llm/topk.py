@@ -174,8 +174,9 @@ class _Scores:
 
     def __init__(self, kind: str, reach: int) -> None:
         self.kind, self.reach = kind, reach
-        # Sums of whole numbers are exact in a float that holds the largest.
-        self.exact = np.float32 if reach < 2**24 else np.float64 if reach < 2**53 else np.int64
+        # Whole numbers are exact in a float that holds the largest: a score less a
+        # lower bound, or twice the reach.
+        self.exact = np.float32 if reach < 2**23 else np.float64 if reach < 2**52 else np.int64
 
     def __call__(self, row: dict, k: int) -> Iterator[tuple[np.ndarray, ...]]:
         """Ids, lower bounds and wanted numbers of queries; candidate ids; scores.
@@ -209,7 +210,9 @@ def _histograms(scores: _Scores, k: int, width: int) -> Callable:
         for batch in batches:
             for row in batch.to_pylist():
                 for ids, low, wanted, _, score in scores(row, k):
-                    bins = np.floor((score - low[:, None].astype(score.dtype)) / width)
+                    bins = score - low[:, None].astype(score.dtype)
+                    # The width is a power of 2, by which floats are divided exactly.
+                    bins = bins // width if bins.dtype == np.int64 else np.floor(bins / width)
                     rows, columns = np.nonzero((bins >= 0) & (bins < BINS))
                     cell = rows * BINS + bins[rows, columns].astype(np.int64)
                     n = np.bincount(cell, minlength=len(ids) * BINS).reshape(-1, BINS)

@@ -74,3 +74,11 @@ def test_hard_rows(spark):
 def test_empty_table(spark):
     assert topk.top_k(frame(spark, []), lambda i: i % 3 == 0).collect() == []
     assert topk.top_k(frame(spark, [(1, [1.0])]), lambda i: i % 3 == 0).collect() == []
+
+
+def test_scores_one_below_the_edge_of_a_bin(spark):
+    """Reach 12,500,001; the best score less the lowest is 2**24 + 2**20 - 1."""
+    rows = [(0, [2500, 1]), (1, [2130, 790]), (2, [1, 1]), (4, [2, 1])]
+    check(spark, [(i, [x / 64 for x in v]) for i, v in rows], k=1)
+    assert topk._Scores("i4", 2**23).exact is topk.np.float64
+    assert topk._Scores("i8", 2**52).exact is topk.np.int64
