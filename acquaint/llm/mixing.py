@@ -242,7 +242,9 @@ def mixture(documents: DataFrame, target: Target = Target()) -> DataFrame:
 def mixed_documents(documents: DataFrame, target: Target = Target()) -> DataFrame:
     """The rows of the mixture with all their columns, once for each block.
 
-    Texts are not shuffled: each row knows from its key how many blocks it is in.
+    They are in the order of the blocks, over partitions too, and within a block
+    in that of the sources' permutations, whose keys run side by side. Each row
+    knows from its key how many blocks it is in.
     """
     sized = written(_sized(documents, target), "sized")
     shares = budgets(sized, target)
@@ -253,4 +255,9 @@ def mixed_documents(documents: DataFrame, target: Target = Target()) -> DataFram
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
     )
-    return _with_blocks(rows, shares, ends, target.seed).select("whole.*")
+    return (
+        _with_blocks(rows, shares, ends, target.seed)
+        .repartitionByRange("block", "key")
+        .sortWithinPartitions("block", "key")
+        .select("whole.*")
+    )

@@ -92,3 +92,13 @@ def test_hard_rows(spark):
 def test_empty_table(spark):
     assert mixing.mixture(documents(spark, [])).collect() == []
     assert mixing.mixed_documents(documents(spark, [])).collect() == []
+
+
+def test_mixed_documents_are_in_the_order_of_their_permutations(spark):
+    given = documents(spark, [(n, f"text {n}", "en", "a" if n % 5 else "b") for n in range(300)])
+    placed = mixing.mixture(given, Target(repetitions=3.0)).orderBy("source", "block", "place").collect()
+    mixed = mixing.mixed_documents(given, Target(repetitions=3.0)).collect()
+    for source in "ab":
+        order = [r.doc_id for r in placed if r.source == source]
+        assert [r.doc_id for r in mixed if r.source == source] == order
+        assert order != sorted(order)
