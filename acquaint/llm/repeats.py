@@ -1,8 +1,9 @@
-"""Removal of repeated passages by longest previous factors in suffix order.
+"""Removal of repeated passages by equal ranks in suffix order.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier.
 That is so where the longest previous factor of a start is ``LENGTH`` or more, so
-suffixes need to be in order only up to that depth. To find earlier matches over
+suffixes need to be in order only up to that depth, where equal ranks stand in for
+the factors, which are not computed. To find earlier matches over
 all documents without one suffix array of everything:
 
 1. Every window of ``LENGTH`` bytes names an anchor: the gram in it with the
