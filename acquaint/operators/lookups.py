@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from acquaint.functions import equals_key, typed
 from acquaint.functions.buckets import within_bucket
-from acquaint.operators.spread import spread_join
-from acquaint.schemas import ROW_KEYS
 
 
 def scan(stored: DataFrame, table: str) -> DataFrame:
@@ -63,16 +61,11 @@ def count_rows(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("count"))
 
 
-def for_keys(
-    stored: DataFrame, table: str, column: str, keys: DataFrame, hot_keys: bool = False
-) -> DataFrame:
+def for_keys(stored: DataFrame, table: str, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose column equals any key of a key table, in one job.
 
     ``keys`` has one column. It may hold repeats and NULLs: repeats do not
-    repeat rows and NULL matches nothing. ``hot_keys`` cuts hot keys up by hand,
-    see ``operators.spread``; the rows are the same.
+    repeat rows and NULL matches nothing. Columns are in the table's own order.
     """
-    keys, rows = keys.toDF(column), typed(stored, table)
-    if hot_keys:
-        return spread_join(rows, keys.distinct(), column, "left_semi", ROW_KEYS[table])
-    return rows.join(keys, column, "left_semi")
+    rows = typed(stored, table)
+    return rows.join(keys.toDF(column), column, "left_semi").select(*rows.columns)

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acquaint.functions import typed
-from acquaint.operators.spread import spread_join
 from acquaint.operators.summaries import review_summary
 from acquaint.schemas import REVIEW_SUMMARY, USER_SUMMARY
 
@@ -61,28 +60,21 @@ def review_counts(users: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def friend_names(friends: DataFrame, users: DataFrame, hot_keys: bool = False) -> DataFrame:
+def friend_names(friends: DataFrame, users: DataFrame) -> DataFrame:
     """Links with the name of the friend; links to unknown users are skipped.
 
-    Repeated links repeat the name and links are not mirrored. ``hot_keys`` cuts
-    hot friends up by hand, see ``operators.spread``; the rows are the same.
+    Repeated links repeat the name and links are not mirrored.
     """
     named = one_row_per_user(users, "name").withColumnRenamed("user_id", "friend_id")
-    return _joined_links(friends, named, "inner", hot_keys).select("user_id", "friend_id", "name")
+    links = typed(friends, "friend").join(named, "friend_id")
+    return links.select("user_id", "friend_id", "name")
 
 
-def dangling_friends(friends: DataFrame, users: DataFrame, hot_keys: bool = False) -> DataFrame:
+def dangling_friends(friends: DataFrame, users: DataFrame) -> DataFrame:
     """Links whose friend is not a known user, NULL friends included."""
     known = typed(users, "user").select(F.col("user_id").alias("friend_id")).distinct()
-    joined = _joined_links(friends, known, "left_anti", hot_keys)
-    return joined.select("user_id", "friend_id")
-
-
-def _joined_links(friends: DataFrame, right: DataFrame, how: str, hot_keys: bool) -> DataFrame:
-    links = typed(friends, "friend")
-    if hot_keys:
-        return spread_join(links, right, "friend_id", how, ["user_id"])
-    return links.join(right, "friend_id", how)
+    links = typed(friends, "friend").join(known, "friend_id", "left_anti")
+    return links.select("user_id", "friend_id")
 
 
 def user_profiles(

@@ -57,8 +57,8 @@ _ON_TABLES: dict[str, Callable[[SocialTables], DataFrame]] = {
     "friends_with_names": lambda t: t.friend_names_of(USER_ID),
     "friend_names_all": lambda t: t.friend_names(),
     "dangling_friends": lambda t: t.dangling_friends(),
-    # The same with a third of all links on one friend: by hand, and left to Spark.
-    "hot_friend_names": lambda t: social.friend_names(hot_links(t.friend), t.user, True),
+    # The same with a third of all links on one friend; adaptive execution splits it.
+    "hot_friend_names": lambda t: social.friend_names(hot_links(t.friend), t.user),
     "hot_friend_names_plain": lambda t: social.friend_names(hot_links(t.friend), t.user),
     "user_review_count": lambda t: t.review_counts().where(f"user_id = '{USER_ID}'"),
     "user_profile": lambda t: t.profile_of(USER_ID),
