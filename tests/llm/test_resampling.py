@@ -1,0 +1,123 @@
+"""Importance resampling against plain word lists and zlib."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from acquaint.llm import resampling
+from tests.llm.data import documents, hard_rows, prose
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {n: n + 32 for n in range(65, 91)}
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def buckets(text, many=10_000):
+    w = words(text)
+    runs = [" ".join(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+    return [zlib.crc32(r.encode()) % many for r in runs]
+
+
+def plain(rows, target):
+    """doc_id, n_words, n_features, weight and score of every row."""
+    s, t = Counter(), Counter()
+    for row in rows:
+        s.update(buckets(row[1]))
+    for text in target:
+        t.update(buckets(text))
+    of_s, of_t = sum(s.values()) + 10_000, sum(t.values()) + 10_000
+    out = []
+    for doc_id, text, *_ in rows:
+        own = buckets(text)
+        weight = sum(math.floor(1000 * math.log((t[b] + 1) * of_s / ((s[b] + 1) * of_t))) for b in own)
+        digits = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8]
+        noise = -1000 * math.log(-math.log((int(digits, 16) + 0.5) / 4294967296))
+        out.append((doc_id, len(words(text)), len(own), weight, weight + math.floor(noise)))
+    return out
+
+
+def ranked(rows):
+    able = sorted(
+        (r for r in rows if r[1] >= 20), key=lambda r: (-r[4], r[0] is None, r[0] or 0)
+    )
+    return able[: 5 * len(able) // 100]
+
+
+@pytest.mark.parametrize("stretch", [40, 2_000_000])
+def test_scores_and_draw_are_those_of_plain_lists(spark, stretch, monkeypatch):
+    monkeypatch.setattr(resampling, "STRETCH_BYTES", stretch)
+    rows = [*hard_rows(), *((n, prose(n, 15 + n % 30), "en", "a") for n in range(100, 300))]
+    target = [prose(7, 50), None, "", "Éa-b_c9 9"]
+    to = spark.createDataFrame([(n, t) for n, t in enumerate(target)], "item_id long, text string")
+    got = [tuple(r) for r in resampling.resample(documents(spark, rows), to).collect()]
+    expected = plain(rows, target)
+    assert Counter(r[:5] for r in got) == Counter(expected)
+    drawn = sorted((r[5], r[:5]) for r in got if r[5] is not None)
+    assert [n for n, _ in drawn] == list(range(1, len(drawn) + 1))
+    assert [r for _, r in drawn] == ranked(expected)
+
+
+def test_equal_rows_get_different_ranks(spark):
+    rows = [(1, prose(1, 40))] * 60
+    got = resampling.resample(documents(spark, rows), documents(spark, rows[:1])).collect()
+    assert sorted(r["rank"] for r in got if r["rank"]) == [1, 2, 3]
+    assert len({r["score"] for r in got}) == 1
+
+
+def test_empty_tables(spark):
+    none, one = documents(spark, []), documents(spark, [(1, "a b")])
+    assert resampling.resample(none, one).count() == 0
+    assert resampling.resample(none, none).count() == 0
+    assert [r["n_features"] for r in resampling.resample(one, none).collect()] == [3]
+
+
+def test_a_global_order_numbers_rows_over_many_partitions(spark):
+    rows = spark.range(0, 5000, 1, 7).selectExpr("id", "id % 3 AS third")
+    got = resampling.numbered(rows, rows["third"].desc(), rows["id"].asc()).collect()
+    expected = sorted(range(5000), key=lambda n: (-(n % 3), n))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["place"])] == expected
+    assert sorted(r["place"] for r in got) == list(range(1, 5001))
+
+
+def test_stretches_end_with_words():
+    text = "ab " * 10 + "c" * 500 + " d"
+    for stretch in (1, 7, 31, 400):
+        flat = np.frombuffer(text.encode(), np.uint8)
+        end = resampling._word_end(flat, np.array([0, len(flat)]), stretch)
+        assert end == len(text) or text[end] == " "
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("aB9 é\U0001f600.\x00_", max_size=30) | st.none(), max_size=6), st.integers(1, 20))
+def test_composed_buckets_are_those_of_whole_features(texts, stretch):
+    whole, resampling.STRETCH_BYTES = resampling.STRETCH_BYTES, stretch
+    try:
+        found = [Counter() for _ in texts]
+        many = Counter()
+        for row, bucket, of_word in resampling.features(pa.array(texts, pa.string()), (1 << 32) - 1):
+            for r, b in zip(row.tolist(), bucket.tolist()):
+                found[r][b] += 1
+            many.update(of_word.tolist())
+    finally:
+        resampling.STRETCH_BYTES = whole
+    assert found == [Counter(buckets(t, (1 << 32) - 1)) for t in texts]
+    assert [many[n] for n in range(len(texts))] == [len(words(t)) for t in texts]
+
+
+def test_long_words_are_moved_on():
+    for a, b in ((b"ab", b"x" * 63), (b"c", b"y" * 64), (b"d", b"z" * 100_003)):
+        moved = resampling.moved_on(np.array([zlib.crc32(a)], np.uint32), np.array([len(b)]))
+        assert int(moved[0]) ^ zlib.crc32(b) == zlib.crc32(a + b)
