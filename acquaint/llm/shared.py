@@ -18,6 +18,12 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1_000_000
 
 
+#: Bits of a bitmap of keys that goes to all tasks: 8 MB, however many keys there are.
+MOST_BITS = 1 << 26
+
+#: Bits of one row of such a bitmap, as Spark builds them.
+_ROW_BITS = 15
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -39,10 +45,16 @@ def giving_back(function: Callable[[Batches], Batches]) -> Callable[[Batches], B
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of its own only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, a session whose executors are threads of the driver gets a
+    temporary one; on a cluster, where others could not see that, this is an error.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="acquaint-checkpoint-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
@@ -60,6 +72,40 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def bitmap_slots(keys: int) -> int:
+    """Bits for so many keys: sixteen each, but ``MOST_BITS`` at most."""
+    return 1 << min(MOST_BITS.bit_length() - 1, max(_ROW_BITS, (16 * keys).bit_length()))
+
+
+def bitmap_rows(keys: DataFrame, key: Column, slots: int) -> DataFrame:
+    """bitmap_row and bits, of the hashes of all keys: at most ``slots`` bits together."""
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    within = slot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return keys.groupBy(F.shiftright(slot, _ROW_BITS).alias("bitmap_row")).agg(
+        F.bitmap_construct_agg(within).alias("bits")
+    )
+
+
+def bitmap_bytes(rows: DataFrame, slots: int) -> np.ndarray:
+    """The whole bitmap in one array."""
+    whole = np.zeros(slots // 8, np.uint8)
+    size = 1 << (_ROW_BITS - 3)
+    for row, bits in rows.collect():
+        whole[row * size : (row + 1) * size] = np.frombuffer(bytes(bits), np.uint8)
+    return whole
+
+
+def with_bit(rows: DataFrame, bitmap: DataFrame, key: Column, slots: int, name: str) -> DataFrame:
+    """The rows with a column that is true for every key of the bitmap, and for few others."""
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    within = slot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(within, 3) + 1, F.lit(1))), 16, 10)
+    bit = F.getbit(byte.cast("int"), within.bitwiseAND(F.lit(7))) == 1
+    joined = rows.withColumn("bitmap_row", F.shiftright(slot, _ROW_BITS))
+    joined = joined.join(F.broadcast(bitmap), "bitmap_row", "left")
+    return joined.withColumn(name, F.coalesce(bit, F.lit(False))).drop("bitmap_row", "bits")
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept from learning: crc32 of the id's decimal digits leaves 0 by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -100,6 +146,36 @@ def slices(bounds: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         start = end
 
 
+def segments(
+    bounds: np.ndarray, overlap: int, most: int = CHUNK_BYTES
+) -> Iterator[tuple[int, int, int, int]]:
+    """The ranges of ``slices`` with the bytes they span, from and to.
+
+    A row that is longer alone comes in segments, each but the last followed by
+    ``overlap`` bytes of the next.
+    """
+    for first, last in slices(bounds, most):
+        begin, end = int(bounds[first]), int(bounds[last])
+        for at in range(begin, max(end - overlap, begin + 1), most if last == first + 1 else end - begin + 1):
+            yield first, last, at, min(at + most + overlap, end) if last == first + 1 else end
+
+
+def word_end(flat: np.ndarray, bounds: np.ndarray, at: int, apart: np.ndarray) -> int:
+    """The first place from ``at`` on where no word goes on, in rows of these bounds.
+
+    ``apart`` tells of each byte whether it is outside of words.
+    """
+    if at >= len(flat):
+        return len(flat)
+    row_end = int(bounds[np.searchsorted(bounds, at)])
+    while at < row_end:
+        ahead = np.flatnonzero(apart[flat[at : min(at + 65_536, row_end)]])
+        if len(ahead):
+            return at + int(ahead[0])
+        at = min(at + 65_536, row_end)
+    return row_end
+
+
 def pieces_of(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, where each becomes Python objects."""
     for batch in batches:

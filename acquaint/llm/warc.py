@@ -27,7 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import giving_back, new_folder, parts, written
+from acquaint.llm.shared import (
+    bitmap_rows,
+    bitmap_slots,
+    giving_back,
+    new_folder,
+    with_bit,
+    written,
+)
 
 #: Payloads of fewer bytes are always stored in full.
 LEAST_REVISIT = 100
@@ -85,9 +92,15 @@ def typed_pages(pages: DataFrame) -> DataFrame:
         .where((F.col("n") > 1) & F.col("first").isNotNull())
         .select("digest", "first")
     )
+    firsts = written(firsts, "repeated")
+    # A bitmap of repeated digests leaves the other pages, mostly all, out of the join.
+    slots = bitmap_slots(firsts.count())
+    marked = with_bit(rows, bitmap_rows(firsts, F.col("digest"), slots), F.col("digest"), slots, "again")
+    single = marked.where(~F.col("again")).withColumn("first", F.lit(None).cast("long"))
+    several = marked.where("again").join(firsts, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return (
-        rows.join(firsts, "digest", "left")
+        several.unionByName(single)
         .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
         .select(
             "page_id",
@@ -154,10 +167,15 @@ def normalise(archives: DataFrame) -> DataFrame:
                     ["path", "index", "records"],
                 )
 
-    dealt = archives.select("path").repartition(parts(archives.sparkSession), "path")
+    dealt = _one_by_one(archives.select("path"))
     return written(dealt.mapInArrow(rewrite, "path string, index string, records long"), "archives")
 
 
+def _one_by_one(archives: DataFrame) -> DataFrame:
+    """Archives in about as many tasks as there are, by ranges of their names."""
+    return archives.repartitionByRange(max(1, archives.count()), "path")
+
+
 def normalise_archive(source: str, target: str, attempt: int = 0) -> int:
     """Number of records, each now a member; any gzip members of the source will do."""
     out, index = _Output(target, attempt), _Output(f"{target}.idx", attempt)
@@ -212,7 +230,7 @@ def read_pages(archives: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_pylist(found, _PAGE)
 
-    dealt = archives.select("path", "index").repartition(parts(archives.sparkSession), "path")
+    dealt = _one_by_one(archives.select("path", "index"))
     return dealt.mapInArrow(
         read,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long",
