@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import encoded, giving_back, written
+from acquaint.llm.shared import encoded, giving_back, word_end, written
 
-#: Bytes of text in one stretch, and what it takes to end its last word.
-STRETCH_BYTES = 2_000_000
+#: Bytes of text in one stretch, and what it takes to end its last word. Automata of so
+#: few words stay in the caches.
+STRETCH_BYTES = 100_000
 
 #: Documents with fewer words are not drawn.
 LEAST_WORDS = 20
@@ -44,6 +45,7 @@ _PLAIN = np.full(256, _SPACE, np.uint8)
 for _byte in (*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)):
     _PLAIN[_byte] = _byte
 _PLAIN[0x41:0x5B] = np.arange(0x61, 0x7B)
+_APART = _PLAIN == _SPACE
 
 
 @dataclass(frozen=True)
@@ -125,7 +127,7 @@ def features(texts: pa.Array, buckets: int) -> Iterator[tuple[np.ndarray, np.nda
     rows, crcs, lengths = np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
     begin = 0
     while begin < len(flat):
-        end = _word_end(flat, bounds, begin + STRETCH_BYTES)
+        end = word_end(flat, bounds, begin + STRETCH_BYTES, _APART)
         plain = _PLAIN[flat[begin:end]]
         inside = plain != _SPACE
         first = inside.copy()
@@ -155,19 +157,6 @@ def features(texts: pa.Array, buckets: int) -> Iterator[tuple[np.ndarray, np.nda
         begin = end
 
 
-def _word_end(flat: np.ndarray, bounds: np.ndarray, at: int) -> int:
-    """The first place from ``at`` on where no word goes on."""
-    if at >= len(flat):
-        return len(flat)
-    row_end = int(bounds[np.searchsorted(bounds, at)])
-    while at < row_end:
-        ahead = np.flatnonzero(_PLAIN[flat[at : min(at + 65_536, row_end)]] == _SPACE)
-        if len(ahead):
-            return at + int(ahead[0])
-        at = min(at + 65_536, row_end)
-    return row_end
-
-
 def bucket_counts(rows: DataFrame, buckets: int) -> DataFrame:
     """bucket and n, of all features of all texts; buckets without any are left out."""
 

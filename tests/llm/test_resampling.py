@@ -15,6 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from acquaint.llm import resampling
+from acquaint.llm.shared import word_end
 from tests.llm.data import documents, hard_rows, prose
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -96,7 +97,7 @@ def test_stretches_end_with_words():
     text = "ab " * 10 + "c" * 500 + " d"
     for stretch in (1, 7, 31, 400):
         flat = np.frombuffer(text.encode(), np.uint8)
-        end = resampling._word_end(flat, np.array([0, len(flat)]), stretch)
+        end = word_end(flat, np.array([0, len(flat)]), stretch, resampling._APART)
         assert end == len(text) or text[end] == " "
 
 
