@@ -1,8 +1,10 @@
 """Exact top-k inner products by distributed histogram selection.
 
 Vectors become whole numbers. Queries and candidates are packed into blocks of
-bounded size, and every pair of a query block and a candidate block is one piece
-of work: one matrix product gives all its scores. Each pass over the pairs
+bounded size, and one matrix product gives all scores of a query block and a
+candidate block. The pairs of blocks are dealt out in tiles: a task holds the few
+query blocks of a tile's row and meets the candidate blocks of its column one by
+one, so a block travels once for each tile and not once for each pair. Each pass
 narrows, for every query, the range that holds its k-th highest score:
 
 1. coarse histograms of the scores, added up over all candidate blocks, give the
@@ -11,13 +13,14 @@ narrows, for every query, the range that holds its k-th highest score:
 3. the last pass keeps the scores above the k-th value and, of those equal to
    it, the smallest ids that are still wanted.
 
-A block reports only bins that may still hold the k-th score: those from its own
+A tile reports only bins that may still hold the k-th score: those from its own
 k-th highest score upwards (the global one cannot be lower), cut to k a bin. So a
-pass returns at most k rows for each query and block, whatever the data.
+pass returns at most k rows for each query and tile, whatever the data.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -32,6 +35,9 @@ RESULT = "query_id long, rank int, vec_id long, score long"
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 8192
 
+#: Query blocks that a task holds, with a histogram of each, about.
+ROWS_OF_TILE = 4
+
 #: Bins of a histogram pass for each query.
 BINS = 1024
 
@@ -73,21 +79,22 @@ def top_k(
     reach = int((most[0] or 0) * (most[1] or 0) ** 2) + 1
     kind = next(t for t in ("i1", "i2", "i4", "i8") if (most[1] or 0) < 2 ** (8 * int(t[1]) - 1))
     queries = whole.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("v").alias("v"))
-    query_blocks = _blocks(queries, QUERY_BLOCK, kind, "q")
-    pairs = _block_pairs(query_blocks, _blocks(whole, CANDIDATE_BLOCK, kind, "c"))
+    tiles = _Tiles(
+        _blocks(queries, QUERY_BLOCK, kind, "q"), _blocks(whole, CANDIDATE_BLOCK, kind, "c")
+    )
     scores = _Scores(kind, reach)
     width = 1
     while width * BINS < 2 * reach:
         width *= BINS
     ranges = None
     while width:
-        found = _with_ranges(pairs, ranges).mapInArrow(
+        found = tiles.dealt(ranges).mapInArrow(
             _histograms(scores, k, width),
             "block string, query_id long, low long, wanted long, bin long, n long",
         )
         ranges = written(_narrowed(found, width), "ranges")
         width //= BINS
-    kept = _with_ranges(pairs, ranges).mapInArrow(
+    kept = tiles.dealt(ranges).mapInArrow(
         _selection(scores), "query_id long, vec_id long, score long"
     )
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -106,7 +113,7 @@ def _blocks(vectors: DataFrame, rows: int, kind: str, name: str) -> DataFrame:
     """Vectors of equal length packed into matrices of at most ``rows`` rows."""
     # Equal rows are dealt out by their tasks.
     cells = F.lit(math.ceil(1.25 * vectors.count() / rows) or 1)
-    dealt = F.pmod(F.xxhash64("vec_id", "v", F.spark_partition_id()), cells)
+    dealt = F.pmod(F.xxhash64("vec_id", "v", F.spark_partition_id()), cells).cast("int")
     vectors = vectors.select("vec_id", "v", F.size("v").alias("dim"), dealt.alias("cell"))
 
     @giving_back
@@ -122,51 +129,86 @@ def _blocks(vectors: DataFrame, rows: int, kind: str, name: str) -> DataFrame:
                         [
                             pa.array([f"{dim}/{cell}/{at - first}"]),
                             pa.array([dim], pa.int32()),
+                            pa.array([cell], pa.int32()),
                             pa.array([part.column("vec_id").to_numpy().astype("<i8").tobytes()]),
                             pa.array([v.astype("<" + kind).tobytes()]),
                         ],
-                        ["block", "dim", "ids", "matrix"],
+                        ["block", "dim", "cell", "ids", "matrix"],
                     )
 
     blocks = (
         vectors.repartition("dim", "cell")
         .sortWithinPartitions("dim", "cell", "vec_id")
-        .mapInArrow(packed, "block string, dim int, ids binary, matrix binary")
+        .mapInArrow(packed, "block string, dim int, cell int, ids binary, matrix binary")
     )
     return written(blocks, f"blocks-{name}")
 
 
-def _block_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Every query block with every candidate block of the same vector length.
+_TILE = ["dim", "tile_row", "tile_column"]
+
+
+class _Tiles:
+    """Query and candidate blocks, dealt out to the tiles of a grid.
 
-    The blocks' names are paired first; the matrices follow by name.
+    Blocks are in a tile's row or column by their cell, of which each holds about
+    one block. There are as many columns as give every core a tile.
     """
-    spark = candidates.sparkSession
-    many = max(parts(spark), spark.sparkContext.defaultParallelism)
-    names = queries.select("dim", "block").join(
-        candidates.select("dim", F.col("block").alias("other")), "dim"
-    )
-    return (
-        names.join(queries.drop("dim"), "block")
-        .join(
-            candidates.select(
-                F.col("block").alias("other"),
-                F.col("ids").alias("other_ids"),
-                F.col("matrix").alias("other_matrix"),
-            ),
-            "other",
+
+    def __init__(self, queries: DataFrame, candidates: DataFrame) -> None:
+        self._queries, self._candidates = queries, candidates
+        spark = queries.sparkSession
+        many = max(parts(spark), spark.sparkContext.defaultParallelism)
+        self._rows = -(-self._cells(queries) // ROWS_OF_TILE)
+        self._columns = min(-(-many // self._rows), self._cells(candidates))
+
+    @staticmethod
+    def _cells(blocks: DataFrame) -> int:
+        return (blocks.agg(F.max("cell")).first()[0] or 0) + 1
+
+    def dealt(self, ranges: DataFrame | None) -> DataFrame:
+        """Tiles in partitions: query blocks with the ranges of their queries, at most
+        one block of them, and then candidate blocks."""
+        if ranges is None:
+            queries = self._queries.withColumn("ranges", F.lit(None).cast(_RANGES))
+        else:
+            one = F.struct("query_id", "low", "wanted")
+            packed = ranges.groupBy("block").agg(F.sort_array(F.collect_list(one)).alias("ranges"))
+            queries = self._queries.join(packed, "block")
+
+        def over(n: int) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+        cell = F.col("cell")
+        queries = queries.select(
+            "*", F.lit(True).alias("asks"),
+            F.pmod(cell, F.lit(self._rows)).alias("tile_row"), over(self._columns).alias("tile_column"),
         )
-        .repartition(many, "block", "other")
-    )
+        candidates = self._candidates.select(
+            "*", F.lit(None).cast(_RANGES).alias("ranges"), F.lit(False).alias("asks"),
+            over(self._rows).alias("tile_row"), F.pmod(cell, F.lit(self._columns)).alias("tile_column"),
+        )
+        return (
+            queries.unionByName(candidates)
+            .repartitionByRange(self._rows * self._columns, *_TILE)
+            .sortWithinPartitions(*_TILE, F.desc("asks"), "block")
+        )
+
+
+_RANGES = "array<struct<query_id:bigint,low:bigint,wanted:bigint>>"
 
 
-def _with_ranges(pairs: DataFrame, ranges: DataFrame | None) -> DataFrame:
-    """Pairs with the ranges of their block's queries, at most one block of them."""
-    if ranges is None:
-        return pairs.withColumn("ranges", F.lit(None).cast("array<struct<query_id:long>>"))
-    one = F.struct("query_id", "low", "wanted")
-    packed = ranges.groupBy("block").agg(F.sort_array(F.collect_list(one)).alias("ranges"))
-    return pairs.join(packed, "block")
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], Iterator[dict]]]:
+    """The query blocks of each tile, and its candidate blocks, one after the other."""
+    rows = (batch.slice(at, 1).to_pylist()[0] for batch in batches for at in range(batch.num_rows))
+    for _, tile in itertools.groupby(rows, lambda row: tuple(row[c] for c in _TILE)):
+        asking = []
+        for row in tile:
+            if row["asks"]:
+                asking.append(row)
+                continue
+            if asking:
+                yield asking, itertools.chain([row], tile)
+            break
 
 
 class _Scores:
@@ -178,16 +220,9 @@ class _Scores:
         # lower bound, or twice the reach.
         self.exact = np.float32 if reach < 2**23 else np.float64 if reach < 2**52 else np.int64
 
-    def __call__(self, row: dict, k: int) -> Iterator[tuple[np.ndarray, ...]]:
-        """Ids, lower bounds and wanted numbers of queries; candidate ids; scores.
-
-        A query's own rows score below all bounds.
-        """
-        ids, other_ids = (np.frombuffer(row[c], "<i8") for c in ("ids", "other_ids"))
-        q, c = (
-            np.frombuffer(row[m], "<" + self.kind).reshape(len(i), row["dim"]).astype(self.exact)
-            for m, i in (("matrix", ids), ("other_matrix", other_ids))
-        )
+    def asked(self, row: dict, k: int) -> tuple[np.ndarray, ...]:
+        """Ids, lower bounds, wanted numbers and vectors of a block's queries."""
+        ids = np.frombuffer(row["ids"], "<i8")
         low = np.full(len(ids), -self.reach)
         wanted = np.full(len(ids), k)
         if row["ranges"] is not None:
@@ -195,35 +230,54 @@ class _Scores:
             at = np.searchsorted(ids, found[:, 0])
             wanted[:] = 0
             low[at], wanted[at] = found[:, 1], found[:, 2]
+        return ids, low, wanted, self.vectors(row)
+
+    def vectors(self, row: dict) -> np.ndarray:
+        found = np.frombuffer(row["matrix"], "<" + self.kind)
+        return found.reshape(len(row["ids"]) // 8, row["dim"]).astype(self.exact)
+
+    def __call__(
+        self, ids: np.ndarray, vectors: np.ndarray, other: dict
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The first query, candidate ids and scores, of some queries at a time.
+
+        A query's own rows score below all bounds.
+        """
+        other_ids, others = np.frombuffer(other["ids"], "<i8"), self.vectors(other)
         first = np.searchsorted(other_ids, ids, side="left")
         last = np.searchsorted(other_ids, ids, side="right")
         for a in range(0, len(ids), 128):
-            score = q[a : a + 128] @ c.T
+            score = vectors[a : a + 128] @ others.T
             for i in range(len(score)):
                 score[i, first[a + i] : last[a + i]] = -2 * self.reach
-            yield ids[a : a + 128], low[a : a + 128], wanted[a : a + 128], other_ids, score
+            yield a, other_ids, score
 
 
 def _histograms(scores: _Scores, k: int, width: int) -> Callable:
     @giving_back
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for ids, low, wanted, _, score in scores(row, k):
-                    bins = score - low[:, None].astype(score.dtype)
-                    # The width is a power of 2, by which floats are divided exactly.
-                    bins = bins // width if bins.dtype == np.int64 else np.floor(bins / width)
-                    rows, columns = np.nonzero((bins >= 0) & (bins < BINS))
-                    cell = rows * BINS + bins[rows, columns].astype(np.int64)
-                    n = np.bincount(cell, minlength=len(ids) * BINS).reshape(-1, BINS)
-                    above = np.cumsum(n[:, ::-1], axis=1)[:, ::-1] - n
-                    at, bin_ = np.nonzero((n > 0) & (above < wanted[:, None]))
-                    columns = [ids[at], low[at], wanted[at], bin_, np.minimum(n[at, bin_], k)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["block"]] * len(at), pa.string())]
-                        + [pa.array(x.astype(np.int64)) for x in columns],
-                        ["block", "query_id", "low", "wanted", "bin", "n"],
-                    )
+        for asking, candidates in _tiles(batches):
+            asked = [scores.asked(row, k) for row in asking]
+            held = [np.zeros((len(ids), BINS), np.int32) for ids, *_ in asked]
+            for other in candidates:
+                for n, (ids, low, _, vectors) in zip(held, asked):
+                    for a, _, score in scores(ids, vectors, other):
+                        bins = score - low[a : a + len(score), None].astype(score.dtype)
+                        # The width is a power of 2, by which floats are divided exactly.
+                        bins = bins // width if bins.dtype == np.int64 else np.floor(bins / width)
+                        rows, columns = np.nonzero((bins >= 0) & (bins < BINS))
+                        cell = rows * BINS + bins[rows, columns].astype(np.int64)
+                        found = np.bincount(cell, minlength=len(score) * BINS)
+                        n[a : a + len(score)] += found.reshape(-1, BINS).astype(np.int32)
+            for row, n, (ids, low, wanted, _) in zip(asking, held, asked):
+                above = np.cumsum(n[:, ::-1], axis=1)[:, ::-1] - n
+                at, bin_ = np.nonzero((n > 0) & (above < wanted[:, None]))
+                columns = [ids[at], low[at], wanted[at], bin_, np.minimum(n[at, bin_], k)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]] * len(at), pa.string())]
+                    + [pa.array(x.astype(np.int64)) for x in columns],
+                    ["block", "query_id", "low", "wanted", "bin", "n"],
+                )
 
     return counted
 
@@ -254,24 +308,35 @@ def _narrowed(found: DataFrame, width: int) -> DataFrame:
 def _selection(scores: _Scores) -> Callable:
     @giving_back
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for ids, low, wanted, other_ids, score in scores(row, 0):
-                    low = np.where(wanted > 0, low, 2 * scores.reach).astype(score.dtype)
-                    rows, columns = np.nonzero(score > low[:, None])
-                    tied, tied_columns = np.nonzero(score == low[:, None])
-                    # Ids ascend along the columns, so the first ties are the smallest.
-                    starts = np.searchsorted(tied, np.arange(len(ids)))
-                    take = np.arange(len(tied)) - starts[tied] < wanted[tied]
-                    rows = np.concatenate((rows, tied[take]))
-                    columns = np.concatenate((columns, tied_columns[take]))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(ids[rows]),
-                            pa.array(other_ids[columns]),
-                            pa.array(score[rows, columns].astype(np.int64)),
-                        ],
-                        ["query_id", "vec_id", "score"],
-                    )
+        for asking, candidates in _tiles(batches):
+            asked = [scores.asked(row, 0) for row in asking]
+            for other in candidates:
+                for ids, low, wanted, vectors in asked:
+                    low = np.where(wanted > 0, low, 2 * scores.reach)
+                    for a, other_ids, score in scores(ids, vectors, other):
+                        yield _selected(
+                            ids[a : a + len(score)], low[a : a + len(score)], wanted[a : a + len(score)],
+                            other_ids, score,
+                        )
 
     return kept
+
+
+def _selected(ids, low, wanted, other_ids, score) -> pa.RecordBatch:
+    """Scores above each query's bound, and of those equal to it as many as are wanted."""
+    low = low.astype(score.dtype)
+    rows, columns = np.nonzero(score > low[:, None])
+    tied, tied_columns = np.nonzero(score == low[:, None])
+    # Ids ascend along the columns, so the first ties are the smallest.
+    starts = np.searchsorted(tied, np.arange(len(ids)))
+    take = np.arange(len(tied)) - starts[tied] < wanted[tied]
+    rows = np.concatenate((rows, tied[take]))
+    columns = np.concatenate((columns, tied_columns[take]))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(ids[rows]),
+            pa.array(other_ids[columns]),
+            pa.array(score[rows, columns].astype(np.int64)),
+        ],
+        ["query_id", "vec_id", "score"],
+    )
