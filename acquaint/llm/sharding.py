@@ -65,6 +65,7 @@ def shard_documents(documents: DataFrame, shards: int = 24, cells: int | None =
             .cast("long")
             .alias("text_hash_2"),
             F.octet_length(text).cast("long").alias("text_bytes"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "sized",
     )
@@ -78,7 +79,7 @@ def shard_documents(documents: DataFrame, shards: int = 24, cells: int | None =
     # At most cells * cell_parts rows, set by the configuration.
     sharded = rows.join(
         placed.join(F.broadcast(numbers), ["cell", "part"]).select(*_GROUP, "shard"), _GROUP
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text_hash_2"), F.lit(cells)).cast("int"))
+    ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text_hash_2", "row"), F.lit(cells)).cast("int"))
     return _numbered(sharded, cells)
 
 
@@ -194,8 +195,8 @@ def _combined_parts(
 def _numbered(sharded: DataFrame, cells: int) -> DataFrame:
     """Slots from 0 in each shard: counts of (shard, block), then numbers within.
 
-    Blocks are a hash of the row, so that they stay small whatever group a shard
-    holds; rows that are equal in all columns are dealt out by their task.
+    Blocks are a hash of the row and its number in the written table, so that they
+    stay small whatever group a shard holds, also one of rows equal in all columns.
     """
     counted = sharded.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(
@@ -205,7 +206,7 @@ def _numbered(sharded: DataFrame, cells: int) -> DataFrame:
     offsets = counted.select(
         "shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
     )
-    within = Window.partitionBy("shard", "block").orderBy("doc_id", "text_hash", "text_crc32")
+    within = Window.partitionBy("shard", "block").orderBy("doc_id", "text_hash", "row")
     return sharded.join(F.broadcast(offsets), ["shard", "block"]).select(
         "doc_id",
         "size",

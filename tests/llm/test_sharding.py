@@ -60,3 +60,8 @@ def test_partial_partitions_combine():
         assert sorted(label) == [0, 1, 2, 3]
         sums += np.bincount(label[partial.parts], weights=chunk, minlength=4)
     assert sums.sum() == sum(c.sum() for c in chunks) and np.ptp(sums) < 1000
+
+
+def test_rows_equal_in_all_columns_are_dealt_over_blocks(spark):
+    rows = [(None, "the same text")] * 4000 + [(n, prose(n, 20)) for n in range(200)]
+    check(spark, rows, 3)
