@@ -5,16 +5,18 @@
    bands of 4 minima are hashed into bucket names.
 2. Documents with equal sets are one class from here on; only its smallest
    doc_id goes on. Buckets with the same members count once.
-3. Within a bucket, agreeing signature fields, counted by bit operations and
-   corrected for chance agreement, estimate similarities. Where an estimate may
-   reach the similarity asked for, the full sets of both documents are brought
-   there and decide.
-
-Pairs do not leave the tasks, and pairs of documents that are joined already are
-not judged, so a group of n copies gives about n links, not n * n. Large buckets
-are cut into blocks. Before that, stars around each large bucket's smallest member
-join most of it; then only what is outside the bucket's commonest component is
-held against all of its blocks.
+3. Agreeing signature fields, counted by bit operations and corrected for chance
+   agreement, estimate similarities. Where an estimate may reach the similarity
+   asked for, and the sets are not too unlike in size, the full sets decide.
+4. First each bucket's members are held against its smallest, which joins most of
+   what belongs together, by at most one pair for a bucket and member. Then, in
+   buckets whose members are still in several components, those outside the
+   commonest are held against all.
+
+Pairs do not leave the tasks but for those of the stars, and pairs of documents that
+are joined already are not judged, so a group of n copies gives about n links, not
+n * n. A bucket's members are cut into blocks, and a task holds one block of those
+that ask against one block of those asked about.
 """
 
 from __future__ import annotations
@@ -24,11 +26,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acquaint.llm.components import connected, joined_labels
-from acquaint.llm.shared import encoded, giving_back, group_starts, slices, whole_groups, written
+from acquaint.llm.shared import (
+    CHUNK_BYTES,
+    bitmap_bytes,
+    bitmap_rows,
+    bitmap_slots,
+    encoded,
+    giving_back,
+    group_starts,
+    slices,
+    whole_groups,
+    word_end,
+    written,
+)
 
 BANDS, ROWS, BITS = 28, 4, 4
 MINIMA = BANDS * ROWS
@@ -37,11 +51,11 @@ MINIMA = BANDS * ROWS
 #: the estimate below the similarity asked for.
 MARGIN = 0.2
 
-#: Members of a bucket that are held against one another in one task.
+#: Members of a bucket in a block, about; a task holds one block against another.
 BLOCK = 512
 
-#: Bits of the bitmap that is broadcast: 8 MB, however many documents there are.
-MOST_BITS = 1 << 26
+#: Shingles of all members in a block, about, where they are long.
+BLOCK_SHINGLES = 2_000_000
 
 #: With fewer bits a node the bitmap lets too much pass.
 SLOTS_PER_NODE = 4
@@ -87,20 +101,7 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     flat, bounds = encoded(texts)
     if not len(flat):
         return [np.zeros(0, np.uint64)] * len(texts)
-    inside = ~_SPACE[flat]
-    owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    edge = np.ones(len(flat) + 1, bool)
-    edge[1:-1] = (inside[1:] != inside[:-1]) | (owner[1:] != owner[:-1])
-    edges = np.flatnonzero(edge)
-    starts, ends = edges[:-1], edges[1:]
-    word = inside[starts]
-    starts, ends = starts[word], ends[word]
-    # A word's hash is a polynomial in its bytes, from differences of running sums.
-    power = np.cumprod(np.full(len(flat), _P))
-    back = np.cumprod(np.full(len(flat), _INVERSE))
-    running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[flat] * power)))
-    hashes = mixed((running[ends] - running[starts]) * back[starts] + (ends - starts).astype(np.uint64))
-    of = owner[starts]
+    hashes, of = word_hashes(flat, bounds)
     many = np.bincount(of, minlength=len(texts))
     last = np.cumsum(many)
     place = _PLACE[:words]
@@ -120,6 +121,36 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return sets
 
 
+def word_hashes(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, in the order of the rows, and the word's row.
+
+    The bytes pass in stretches that end between words, whatever a row's length.
+    """
+    hashes, owners = [], []
+    begin = 0
+    while begin < len(flat):
+        end = word_end(flat, bounds, begin + CHUNK_BYTES, _SPACE)
+        data = flat[begin:end]
+        inside = ~_SPACE[data]
+        edge = np.ones(len(data) + 1, bool)
+        edge[1:-1] = inside[1:] != inside[:-1]
+        edge[bounds[(bounds > begin) & (bounds < end)] - begin] = True
+        edges = np.flatnonzero(edge)
+        starts, ends = edges[:-1], edges[1:]
+        word = inside[starts]
+        starts, ends = starts[word], ends[word]
+        # A word's hash is a polynomial in its bytes, from differences of running sums.
+        power = np.cumprod(np.full(len(data), _P))
+        back = np.cumprod(np.full(len(data), _INVERSE))
+        running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * power)))
+        hashes.append(
+            mixed((running[ends] - running[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+        )
+        owners.append(np.searchsorted(bounds, begin + starts, side="right") - 1)
+        begin = end
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
 def minima(shingles: np.ndarray) -> np.ndarray:
     """The smallest value of each of the hash functions over a set that is not empty."""
     least = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
@@ -238,7 +269,7 @@ def near_duplicates(documents: DataFrame, near: Similarity = Similarity()) -> Da
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """bucket, node and signature in buckets with several members.
+    """bucket, node, signature and size in buckets with several members.
 
     Of buckets with the same members one is left.
     """
@@ -260,10 +291,10 @@ def _members(classes: DataFrame) -> DataFrame:
         named.join(buckets, "bucket")
         .groupBy("node")
         .agg(F.collect_list(F.struct("bucket", "n", "least")).alias("held"))
-        .join(classes.select("node", "signature"), "node")
+        .join(classes.select("node", "signature", "n_shingles"), "node")
     )
     return of_node.select(
-        "node", "signature", F.col("held.bucket").alias("buckets"), F.inline("held")
+        "node", "signature", "n_shingles", F.col("held.bucket").alias("buckets"), F.inline("held")
     )
 
 
@@ -275,8 +306,9 @@ def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame
     leaves them out.
     """
     nodes_there = nodes.count()
-    slots, bitmap = _bitmap(nodes, nodes_there)
-    sent = documents.sparkSession.sparkContext.broadcast(bitmap)
+    slots = bitmap_slots(nodes_there)
+    bitmap = bitmap_rows(nodes, F.col("node"), slots)
+    sent = documents.sparkSession.sparkContext.broadcast(bitmap_bytes(bitmap, slots))
     node = F.col("doc_id").cast("long")
     rows = documents.select(
         node.alias("node"), F.pmod(F.xxhash64(node), F.lit(slots)).alias("slot"), "text"
@@ -303,111 +335,189 @@ def _sets(documents: DataFrame, nodes: DataFrame, near: Similarity) -> DataFrame
     return sets if SLOTS_PER_NODE * nodes_there <= slots else sets.join(nodes, "node", "left_semi")
 
 
-def _bitmap(nodes: DataFrame, there: int) -> tuple[int, np.ndarray]:
-    """Number of bits, at most ``MOST_BITS``, and those of the nodes' hashes."""
-    slots = 1 << min(MOST_BITS.bit_length() - 1, max(15, (16 * there).bit_length()))
-    slot = F.pmod(F.xxhash64("node"), F.lit(slots))
-    parts = (
-        nodes.groupBy(F.shiftright(slot, 15).alias("part"))
-        .agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits"))
-        .collect()
-    )
-    bitmap = np.zeros(slots // 8, np.uint8)
-    for part, bits in parts:
-        bitmap[part * 4096 : (part + 1) * 4096] = np.frombuffer(bytes(bits), np.uint8)
-    return slots, bitmap
-
-
 def _linked(members: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
     """node and label (smallest node of its component) of all nodes in buckets."""
-    nodes = members.select("node").distinct()
-    labels = written(nodes.withColumn("label", F.col("node")), "labels")
-    stars = members.where((F.col("n") > BLOCK) & (F.col("node") != F.col("least")))
-    stars = written(stars.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    if not stars.isEmpty():
-        labels = joined_labels(labels, _confirmed(stars, sets, near))
+    labels = written(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
+    stars = written(_stars(members, near), "stars")
+    labels = joined_labels(labels, written(_star_links(stars, sets, near), "star-links"))
     places = written(_places(members, labels), "places")
-    likely = written(places.mapInArrow(_likely(near), "bucket long, block int, node long"), "likely")
-    rows = places.join(likely, ["bucket", "block", "node"], "left_semi").join(sets, "node")
+    likely = written(places.mapInArrow(_likely(near), "bucket long, tile long, node long"), "likely")
+    rows = places.join(likely, ["bucket", "tile", "node"], "left_semi").join(sets, "node")
     links = (
         rows.select(*_PLACE_COLUMNS, "shingles")
-        .repartition("bucket", "block")
-        .sortWithinPartitions("bucket", "block", "asks", "node")
+        .repartition("bucket", "tile")
+        .sortWithinPartitions("bucket", "tile", "asks", "node")
         .mapInArrow(_links(near), "a long, b long")
     )
     return joined_labels(labels, written(links, "links"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
-    """The pairs that the full sets confirm."""
-    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - shared
-    links = pairs.join(of_a, "a").join(of_b, "b").where(100 * shared >= near.percent * union)
-    return written(links.select("a", "b"), "links")
+def _most_unlike(near: Similarity) -> int:
+    """Signature fields in which a pair may differ and still be judged."""
+    wanted = near.percent / 100 - MARGIN
+    return int(MINIMA * (1 - wanted) * (1 - 2.0**-BITS))
+
+
+def _words(signatures: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Signatures as rows of 64-bit words."""
+    rows = signatures.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), -1)
+
+
+def _stars(members: DataFrame, near: Similarity) -> DataFrame:
+    """Pairs (a, b) of a bucket's smallest node and another one that may be near."""
+    pairs = members.where(F.col("node") != F.col("least")).select(
+        F.col("least").alias("a"), F.col("node").alias("b"), "signature", "n_shingles"
+    )
+    centres = members.where(F.col("node") == F.col("least")).select(
+        F.col("node").alias("a"), F.col("signature").alias("centre"), F.col("n_shingles").alias("of_centre")
+    )
+    pairs = pairs.dropDuplicates(["a", "b"]).join(centres.dropDuplicates(["a"]), "a")
+    size, of_centre = F.col("n_shingles"), F.col("of_centre")
+    pairs = pairs.where(100 * F.least(size, of_centre) >= near.percent * F.greatest(size, of_centre))
+    most = _most_unlike(near)
+
+    @giving_back
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, other = (_words(batch.column(c)) for c in ("signature", "centre"))
+                kept = pa.array(unlike_fields(one ^ other).sum(axis=1) <= most)
+                yield batch.select(["a", "b"]).filter(kept)
+
+    return pairs.mapInArrow(alike, "a long, b long")
+
 
+def _star_links(stars: DataFrame, sets: DataFrame, near: Similarity) -> DataFrame:
+    """The pairs that the full sets confirm.
 
-_PLACE_COLUMNS = ["bucket", "block", "node", "label", "signature", "buckets", "asks"]
+    The set of a star's centre is followed by those of its nodes, in blocks; one set
+    of each is held at a time.
+    """
+    blocks = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    nodes = (
+        stars.join(blocks, "a")
+        .select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.col("b").alias("node"))
+        .withColumn("centre", F.lit(False))
+    )
+    centres = blocks.select(
+        "a",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("a").alias("node"),
+        F.lit(True).alias("centre"),
+    )
+
+    @giving_back
+    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, of = None, None
+        for batch in batches:
+            starred, nodes_, centre = (batch.column(c).to_pylist() for c in ("a", "node", "centre"))
+            shingles = batch.column("shingles")
+            a, b = [], []
+            for at, (star, node, is_centre) in enumerate(zip(starred, nodes_, centre)):
+                own = shingles[at].values.to_numpy()
+                if is_centre:
+                    held, of = own.copy(), star
+                elif of == star and _near(held, own, near):
+                    a.append(star)
+                    b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return (
+        nodes.unionByName(centres)
+        .join(sets, "node")
+        .repartition("a", "block")
+        .sortWithinPartitions("a", "block", F.desc("centre"), "node")
+        .mapInArrow(confirmed, "a long, b long")
+    )
+
+
+_PLACE_COLUMNS = [
+    "bucket", "tile", "node", "label", "signature", "n_shingles", "buckets", "asks", "outside",
+]
 
 
 def _places(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets with several components, in blocks, sorted by them.
+    """Members of buckets with several components, in tiles, sorted by them.
 
     All nodes are in one block of their bucket to be asked about. Those outside
-    the bucket's commonest component also ask, in all its blocks.
+    the bucket's commonest component also ask, in a block of their own. A tile is a
+    block that asks and one that is asked about.
     """
     now = members.join(labels, "node")
+    size = F.sum("n_shingles")
     common = (
         now.groupBy("bucket", "label")
-        .agg(F.count(F.lit(1)).alias("k"))
+        .agg(F.count(F.lit(1)).alias("k"), size.alias("n_shingles"))
         .groupBy("bucket")
         .agg(
-            F.max(F.struct("k", (-F.col("label")).alias("minus"))).alias("most"),
+            F.max(F.struct("k", (-F.col("label")).alias("minus"), "n_shingles")).alias("most"),
             F.count(F.lit(1)).alias("components"),
+            F.sum("k").alias("all"),
+            size.alias("all_shingles"),
         )
         .where(F.col("components") > 1)
-        .select("bucket", (-F.col("most.minus")).alias("commonest"))
+        .select(
+            "bucket",
+            (-F.col("most.minus")).alias("commonest"),
+            _block_count(F.col("all"), F.col("all_shingles")).alias("blocks"),
+            _block_count(
+                F.col("all") - F.col("most.k"), F.col("all_shingles") - F.col("most.n_shingles")
+            ).alias("asking"),
+        )
     )
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    now = now.join(common, "bucket").withColumn("blocks", blocks)
-    asked = now.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    asking = now.where(F.col("label") != F.col("commonest")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    now = now.join(common, "bucket").withColumn("outside", F.col("label") != F.col("commonest"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    asking = F.pmod(F.xxhash64("node", F.lit(1)), F.col("asking"))
+
+    def over(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    asked = now.withColumn("other", over("asking")).withColumn(
+        "tile", F.col("other") * F.col("blocks") + block
+    )
+    asks = now.where("outside").withColumn("other", over("blocks")).withColumn(
+        "tile", asking * F.col("blocks") + F.col("other")
     )
     return (
         asked.withColumn("asks", F.lit(False))
-        .unionByName(asking.withColumn("asks", F.lit(True)))
+        .unionByName(asks.withColumn("asks", F.lit(True)))
         .select(*_PLACE_COLUMNS)
-        .repartition("bucket", "block")
-        .sortWithinPartitions("bucket", "block", "asks", "node")
+        .repartition("bucket", "tile")
+        .sortWithinPartitions("bucket", "tile", "asks", "node")
     )
 
 
+def _block_count(members: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(members / BLOCK, shingles / BLOCK_SHINGLES)).cast("long")
+
+
 def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[list[tuple[int, int]]]:
-    """Rows that ask and rows asked about, of groups of (bucket, block), if their
+    """Rows that ask and rows asked about, of groups of (bucket, tile), if their
     estimate may be right and they are in different components.
 
-    Of two rows that both ask about each other the larger node does. Documents
+    Of two nodes that both ask the larger one asks about the smaller. Documents
     that share several buckets are a pair in the first of them.
     """
-    wanted = near.percent / 100 - MARGIN
-    most_unlike = int(MINIMA * (1 - wanted) * (1 - 2.0**-BITS))
-    starts = [*group_starts(table, ("bucket", "block")).tolist(), table.num_rows]
-    node, label, asks = (table.column(c).to_numpy() for c in ("node", "label", "asks"))
-    words = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64)
-    words = words.reshape(table.num_rows, -1)
+    most_unlike = _most_unlike(near)
+    starts = [*group_starts(table, ("bucket", "tile")).tolist(), table.num_rows]
+    node, label, asks, outside, size = (
+        table.column(c).to_numpy() for c in ("node", "label", "asks", "outside", "n_shingles")
+    )
+    words = _words(table.column("signature"))
     held = [frozenset(x) for x in table.column("buckets").to_pylist()]
     for first, last in zip(starts, starts[1:]):
         here = table.column("bucket")[first].as_py()
         split = first + int(np.count_nonzero(~asks[first:last]))
         base = slice(first, split)
-        also = np.isin(node[base], node[split:last])
         for at in range(split, last if split > first else split, 256):
             ask = slice(at, min(at + 256, last))
             likely = differing(words[ask], words[base]) <= most_unlike
             likely &= label[ask, None] != label[None, base]
-            likely &= ~also[None, :] | (node[None, base] < node[ask, None])
+            likely &= ~outside[None, base] | (node[None, base] < node[ask, None])
+            likely &= 100 * np.minimum(size[ask, None], size[None, base]) >= near.percent * np.maximum(
+                size[ask, None], size[None, base]
+            )
             i, j = (x.tolist() for x in np.nonzero(likely))
             pairs = [(at + x, first + y) for x, y in zip(i, j)]
             pairs = [(x, y) for x, y in pairs if min(held[x] & held[y]) == here]
@@ -418,11 +528,11 @@ def _likely_pairs(table: pa.Table, near: Similarity) -> Iterator[list[tuple[int,
 def _likely(near: Similarity):
     @giving_back
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("bucket", "block")):
+        for table in whole_groups(batches, ("bucket", "tile")):
             involved = np.zeros(table.num_rows, bool)
             for pairs in _likely_pairs(table, near):
                 involved[np.unique(np.array(pairs))] = True
-            rows = table.select(["bucket", "block", "node"]).filter(pa.array(involved))
+            rows = table.select(["bucket", "tile", "node"]).filter(pa.array(involved))
             yield from rows.to_batches()
 
     return found
@@ -433,15 +543,15 @@ def _links(near: Similarity):
 
     @giving_back
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("bucket", "block")):
-            node, bucket = table.column("node").to_numpy(), table.column("bucket").to_numpy()
-            label = table.column("label").to_pylist()
+        for table in whole_groups(batches, ("bucket", "tile")):
+            node = table.column("node").to_numpy()
+            key = list(zip(*(table.column(c).to_pylist() for c in ("bucket", "tile", "label"))))
             shingles = table.column("shingles").combine_chunks()
             ends = shingles.offsets.to_numpy()
             values = shingles.values.to_numpy()
-            joined: dict[tuple[int, int], tuple[int, int]] = {}
+            joined: dict[tuple[int, int, int], tuple[int, int, int]] = {}
 
-            def root(of: tuple[int, int]) -> tuple[int, int]:
+            def root(of: tuple[int, int, int]) -> tuple[int, int, int]:
                 while (up := joined.get(of, of)) != of:
                     joined[of] = joined.get(up, up)
                     of = up
@@ -450,8 +560,7 @@ def _links(near: Similarity):
             links = []
             for pairs in _likely_pairs(table, near):
                 for x, y in pairs:
-                    here = int(bucket[x])
-                    one, other = root((here, label[x])), root((here, label[y]))
+                    one, other = root(key[x]), root(key[y])
                     if one == other:
                         continue
                     if _near(values[ends[x] : ends[x + 1]], values[ends[y] : ends[y + 1]], near):
@@ -474,13 +583,16 @@ def _near(a: np.ndarray, b: np.ndarray, near: Similarity) -> bool:
     return 100 * shared >= near.percent * (len(a) + len(b) - shared)
 
 
+def unlike_fields(x: np.ndarray) -> np.ndarray:
+    """Number of fields in each word that are not all zero."""
+    x = x | (x >> np.uint64(1))
+    x |= x >> np.uint64(2)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111))
+
+
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Number of fields in which each signature of a differs from each of b."""
     total = np.zeros((len(a), len(b)), np.int32)
     for word in range(a.shape[1]):
-        x = a[:, word, None] ^ b[None, :, word]
-        x |= x >> np.uint64(1)
-        x |= x >> np.uint64(2)
-        x &= np.uint64(0x1111111111111111)
-        total += np.bitwise_count(x)
+        total += unlike_fields(a[:, word, None] ^ b[None, :, word])
     return total

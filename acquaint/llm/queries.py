@@ -248,7 +248,42 @@ _RESAMPLING = f"""
     FROM ranked
 """
 
+_NEAR = """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, row_number() OVER () AS row,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, row, CASE WHEN len(w) = 0 THEN []
+            WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+            END AS s
+        FROM words
+    ), shingles AS (
+        SELECT row, unnest(s) AS shingle FROM sets WHERE doc_id IS NOT NULL
+    ), shared AS (
+        SELECT a.row AS a, b.row AS b, count(*) AS n
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row < b.row GROUP BY ALL
+    ), links AS (
+        SELECT x.doc_id AS a, y.doc_id AS b
+        FROM shared JOIN sets x ON x.row = a JOIN sets y ON y.row = b
+        WHERE 100 * n >= 80 * (len(x.s) + len(y.s) - n)
+    ), ways AS (
+        SELECT a, b FROM links UNION SELECT b, a FROM links
+    ), reach AS (
+        SELECT doc_id, doc_id AS label FROM documents WHERE doc_id IS NOT NULL
+        UNION SELECT b, label FROM reach JOIN ways ON a = doc_id WHERE label < b
+    ), components AS (
+        SELECT doc_id, min(label) AS component_id FROM reach GROUP BY doc_id
+    )
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id,
+           coalesce(component_id = s.doc_id, true) AS kept
+    FROM sets s LEFT JOIN components c ON c.doc_id = s.doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op5_minhash": _NEAR,
     "op9_warc": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS payload,

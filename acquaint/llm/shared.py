@@ -27,15 +27,34 @@ _ROW_BITS = 15
 Batches = Iterator[pa.RecordBatch]
 
 
+#: Models that a worker keeps from task to task, and the modules whose tasks use them.
+_KEPT: list[tuple[tuple[str, ...], Callable]] = []
+
+
+def kept_for(*modules: str) -> Callable[[Callable], Callable]:
+    """A function whose last results a worker keeps until tasks of other modules run."""
+
+    def kept(function: Callable) -> Callable:
+        cached = functools.lru_cache(maxsize=2)(function)
+        _KEPT.append((modules, cached))
+        return cached
+
+    return kept
+
+
 def giving_back(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     """A function over batches that hands freed memory back when its task ends.
 
-    Workers live on between tasks, and what their allocators keep counts against
-    the executor's memory while other stages run.
+    Workers live on between tasks, and what they and their allocators keep counts
+    against the executor's memory while other stages run. What tasks of other modules
+    have kept goes before this one begins.
     """
 
     @functools.wraps(function)
     def run(batches: Batches) -> Batches:
+        for modules, cached in _KEPT:
+            if function.__module__ not in modules:
+                cached.cache_clear()
         yield from function(batches)
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # only glibc has it
@@ -106,6 +125,18 @@ def with_bit(rows: DataFrame, bitmap: DataFrame, key: Column, slots: int, name:
     return joined.withColumn(name, F.coalesce(bit, F.lit(False))).drop("bitmap_row", "bits")
 
 
+def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key, as a long, is not among the keys; null keys stay.
+
+    Only rows that a bitmap of the keys does not clear are joined.
+    """
+    slots = bitmap_slots(keys.count())
+    bitmap = bitmap_rows(keys, F.col(key).cast("long"), slots)
+    marked = with_bit(rows, bitmap, F.col(key).cast("long"), slots, "__there")
+    found = marked.where("__there").join(keys, rows[key].cast("long") == keys[key], "left_anti")
+    return marked.where("NOT __there").drop("__there").unionByName(found.drop("__there"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept from learning: crc32 of the id's decimal digits leaves 0 by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -7,10 +7,12 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from acquaint.llm import minhash
 from acquaint.llm.components import connected
 from acquaint.llm.minhash import Similarity, near_duplicates
+from acquaint.llm.shared import written
 from tests.llm.data import documents, hard_rows, prose
 
 
@@ -135,3 +137,68 @@ def test_components_of_random_graphs(spark, seed):
     joined = {x for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.label for r in found} == {x: find(x) for x in joined}
     assert len(found) == len(joined)
+
+
+def test_words_pass_in_stretches(monkeypatch):
+    texts = pa.array([prose(n, 40) for n in range(5)] + [None, "", "x" * 300, " a " * 50, prose(9, 900)])
+    whole = minhash.shingle_sets(texts, 4)
+    monkeypatch.setattr(minhash, "CHUNK_BYTES", 17)
+    assert all((a == b).all() for a, b in zip(whole, minhash.shingle_sets(texts, 4), strict=True))
+
+
+def template(n, texts, words, common):
+    """Texts that share a template and so buckets, but are not near."""
+    draw = random.Random(n)
+    shared = prose(77, common)
+    return [(n * 1000 + i, shared + " " + prose(draw.randrange(10**6), words)) for i in range(texts)]
+
+
+def test_tiles_hold_one_block_against_another(spark, monkeypatch):
+    """Unlike members of large buckets: no task's group grows with the bucket."""
+    monkeypatch.setattr(minhash, "BLOCK", 32)
+    near = Similarity(words=2, percent=80)
+    for many in (150, 300):
+        classes = minhash.described(documents(spark, template(1, many, 14, 60)), near).selectExpr(
+            "doc_id AS node", "signature", "buckets", "n_shingles"
+        )
+        members = written(minhash._members(classes), "members")
+        assert members.agg(F.max("n")).first()[0] > many / 4
+        labels = members.select("node").distinct().withColumn("label", F.col("node"))
+        groups = minhash._places(members, labels).groupBy("bucket", "tile").count()
+        assert groups.agg(F.max("count")).first()[0] < 4 * 32
+
+
+def test_blocks_of_long_sets_hold_fewer(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 1000)
+    near = Similarity(words=2, percent=80)
+    rows = template(2, 60, 14, 60)
+    classes = minhash.described(documents(spark, rows), near).selectExpr(
+        "doc_id AS node", "signature", "buckets", "n_shingles"
+    )
+    members = written(minhash._members(classes), "members")
+    labels = members.select("node").distinct().withColumn("label", F.col("node"))
+    groups = minhash._places(members, labels).groupBy("bucket", "tile", "asks")
+    assert groups.agg(F.sum("n_shingles").alias("s")).agg(F.max("s")).first()[0] < 3000
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_unlike_members_of_a_bucket_and_chains(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    draw = random.Random(11)
+    rows = template(3, 50, 30, 90)
+    text = prose(500, 120)
+    for step in range(25):  # each near the one before, the ends far apart
+        rows.append((50_000 - step, text))
+        text = edited(text, draw, 2)
+    draw.shuffle(rows)
+    check(spark, rows)
+
+
+def test_pairs_of_stars_are_at_most_one_for_a_bucket_and_member(spark):
+    rows = [(n, edited(prose(8, 100), random.Random(n), 2)) for n in range(80)]
+    near = Similarity(4, 80)
+    classes = minhash.described(documents(spark, rows), near).selectExpr(
+        "doc_id AS node", "signature", "buckets", "n_shingles"
+    )
+    members = written(minhash._members(classes), "members")
+    assert 0 < minhash._stars(members, near).count() <= members.count()
