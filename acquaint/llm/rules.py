@@ -111,7 +111,7 @@ def counts(documents: DataFrame) -> DataFrame:
     Words are runs of characters other than ASCII white space. n_repeat_words are
     the words in three-word windows that occur twice or more in the text, compared
     as text; n_dup_lines the lines with a word that equal an earlier one. A text's
-    windows are held together, some 150 bytes a word.
+    windows are held together, some 250 bytes a word.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     spaced = F.translate(text, _SPACES, " " * len(_SPACES))
