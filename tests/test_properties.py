@@ -95,12 +95,12 @@ def expected_reviews_of_elite(network) -> Counter:
 @settings(
     max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
-@given(network=networks, by_hand=st.booleans())
-def test_random_networks(spark, network, by_hand):
+@given(network=networks)
+def test_random_networks(spark, network):
     t = tables(spark, **network)
-    assert rows(t.friend_names(by_hand)) == expected_names(network)
-    assert rows(t.dangling_friends(by_hand)) == expected_dangling(network)
+    assert rows(t.friend_names()) == expected_names(network)
+    assert rows(t.dangling_friends()) == expected_dangling(network)
     assert rows(t.friend_counts()) == expected_friend_counts(network)
     assert rows(t.profiles()) == expected_profiles(network)
-    found = t.reviews_of_all(t.elites_in(2001).select("user_id"), by_hand)
+    found = t.reviews_of_all(t.elites_in(2001).select("user_id"))
     assert rows(found.select("user_id", "review_id", "stars")) == expected_reviews_of_elite(network)
