@@ -1,9 +1,11 @@
 """Packing token sequences, balanced by the cost of attention.
 
 A sequence costs ``linear`` per token and ``quadratic`` per squared length of
-each piece in it, as attention stays within a document. Documents longer than a
-sequence are cut into full sequences and a rest. Rests and shorter documents
-are assigned in descending length to the cheapest open sequence that still has
+each piece in it, as attention stays within a document. A piece as long as a
+sequence makes the dearest sequence there is. Where others are much cheaper, long
+documents are therefore cut into halves of sequences, or halves of those, as few as
+bring a sequence with such a piece near the mean cost. All pieces are
+assigned in descending length to the cheapest open sequence that still has
 room for them. What fits nowhere whole is cut over the gaps that are left, so a
 group of documents pads less than one sequence.
 
@@ -43,6 +45,13 @@ class Packing:
     linear: float = 1.0
     quadratic: float = 1.0 / 1024
     group_tokens: int = 4_000_000
+    #: A sequence with a longest piece may cost so many times the mean.
+    slack: float = 1.25
+    #: Long documents are not cut into pieces shorter than this.
+    least_cut: int = 256
+
+    def cost(self, length):
+        return self.linear * length + self.quadratic * length * length
 
 
 def pack_documents(
@@ -76,7 +85,7 @@ def pack_documents(
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for first, last in slices(encoded(texts)[1]):
                 whole = [t or "" for t in texts.slice(first, last - first).to_pylist()]
-                for doc_id, found in zip(doc_ids[first:last], tokenizer.encode(whole)):
+                for doc_id, found in zip(doc_ids[first:last], tokenizer.encode_long(whole)):
                     ids.append(doc_id)
                     tokens.append(np.concatenate((found, end)))
                     held += len(found) + 1
@@ -116,48 +125,56 @@ def _rows(
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW), sequences
 
 
+def longest_piece(lengths: np.ndarray, packing: Packing) -> int:
+    """The longest piece for documents of these lengths: a sequence, or so many times
+    half of it until a sequence with such a piece costs at most ``slack`` times the
+    mean of all sequences."""
+    size, total = packing.length, int(lengths.sum())
+    sequences = max(1, -(-total // size))
+    cut = size
+    while cut % 2 == 0 and cut // 2 >= packing.least_cut:
+        whole = (lengths // cut).sum() * packing.cost(cut) + packing.cost(lengths % cut).sum()
+        # The rest of its sequence holds tokens, of pieces that may be small.
+        if packing.cost(cut) + packing.linear * (size - cut) <= packing.slack * whole / sequences:
+            break
+        cut //= 2
+    return cut
+
+
 def place(lengths: np.ndarray, packing: Packing) -> tuple[np.ndarray, ...]:
     """Pieces of documents of these lengths: document, start, length, sequence,
-    offset; and the number of sequences."""
-    size = packing.length
-    full = lengths // size
-    document = np.repeat(np.arange(len(lengths)), full)
-    start = (np.arange(len(document)) - np.repeat(np.cumsum(full) - full, full)) * size
-    sequence = np.arange(len(document))
-    pieces = [(document, start, np.full(len(document), size), sequence, np.zeros_like(start))]
-
-    rest = lengths % size
-    order = np.argsort(-rest, kind="stable")
-    order = order[rest[order] > 0]
-    opened = -(-int(rest.sum()) // size)
+    offset; and the number of sequences, the least that hold all tokens."""
+    size, cut = packing.length, longest_piece(lengths, packing)
+    many = -(-lengths // cut)
+    document = np.repeat(np.arange(len(lengths)), many)
+    start = (np.arange(len(document)) - np.repeat(np.cumsum(many) - many, many)) * cut
+    length = np.minimum(lengths[document] - start, cut)
+    order = np.argsort(-length, kind="stable")
+    opened = -(-int(lengths.sum()) // size)
     room = np.full(opened, size)
     cost = np.zeros(opened)
     put: list[tuple[int, int, int, int, int]] = []
-    left: list[int] = []
+    left: list[tuple[int, int, int]] = []
 
     def add(document: int, start: int, length: int, at: int) -> None:
-        put.append((document, start, length, len(sequence) + at, size - int(room[at])))
+        put.append((document, start, length, at, size - int(room[at])))
         room[at] -= length
-        cost[at] += packing.linear * length + packing.quadratic * length * length
+        cost[at] += packing.cost(length)
 
-    for d, n in zip(order.tolist(), rest[order].tolist()):
+    for d, s, n in zip(*(x[order].tolist() for x in (document, start, length))):
         at = int(np.where(room >= n, cost, np.inf).argmin())
         if room[at] >= n:
-            add(d, int(full[d]) * size, n, at)
+            add(d, s, n, at)
         else:
-            left.append(d)
+            left.append((d, s, n))
     gaps = np.argsort(-room, kind="stable").tolist()
-    for d in left:
-        begin, n = int(full[d]) * size, int(rest[d])
+    for d, s, n in left:
         while n:
             at = gaps[0]
             take = min(n, int(room[at]))
             if take:
-                add(d, begin, take, at)
-                begin, n = begin + take, n - take
+                add(d, s, take, at)
+                s, n = s + take, n - take
             if not room[at]:
                 gaps.pop(0)
-    if put:
-        pieces.append(tuple(np.array(put, np.int64).T))
-    columns = [np.concatenate(c).astype(np.int64) for c in zip(*pieces)]
-    return (*columns, len(sequence) + opened)
+    return (*np.array(put, np.int64).reshape(-1, 5).T, opened)
