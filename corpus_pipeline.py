@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from acquaint.llm import minhash, mixing, quality, repeats
 from acquaint.llm.packing import pack_documents
 from acquaint.llm.queries import table, tokenizer_path
-from acquaint.llm.shared import held_out, written
+from acquaint.llm.shared import held_out, without_keys, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,7 +28,8 @@ MIXTURE = mixing.Target(repetitions=1.5)
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. It is trained on labelled
-    rows of the documents given; without any it rejects nothing."""
+    rows of the documents given; without any it rejects nothing. Null and empty texts
+    are scored like others, equal rows get equal scores, null ids teach nothing."""
     docs, labels = docs.select(*COLUMNS), table(spark, sf_dir, "labels")
     rows = quality.learning_rows(docs, labels, ~held_out(F.col("doc_id")), quality.Learning())
     return quality.accepted_documents(docs, quality.fit(*rows))
@@ -36,29 +37,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest
-    doc_id. Rows with null ids stay; of rows that share an id one stays, the one
-    whose text is the smallest."""
+    doc_id. A document's rows are those that share its id: they stay or go together,
+    rows that are also equal in text as one. Rows with null ids, and documents
+    without words, are near nothing and stay."""
     table(spark, sf_dir, "documents")  # makes the package importable in workers
     docs = docs.select(*COLUMNS)
     found = written(minhash.near_duplicates(docs), "near")
-    kept = (
-        found.where("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-        .where("kept")
-    )
-    rows = docs.join(kept, "doc_id").select(*COLUMNS, "n")
-    if found.where("doc_id IS NULL").isEmpty():
-        nulls = None
-    else:
-        nulls = docs.where(F.col("doc_id").isNull())
-    if not kept.where("n > 1").isEmpty():
-        whole = F.struct("text", *[c for c in COLUMNS if c not in ("doc_id", "text")])
-        several = rows.where("n > 1").groupBy("doc_id").agg(F.min(whole).alias("one"))
-        several = several.select("doc_id", "one.*").select(*COLUMNS)
-        rows = rows.where("n = 1").select(*COLUMNS).unionByName(several)
-    rows = rows.select(*COLUMNS)
-    return rows if nulls is None else rows.unionByName(nulls)
+    gone = written(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    rows = without_keys(docs, gone, "doc_id")
+    several = found.where("doc_id IS NOT NULL AND kept").groupBy("doc_id").count().where("count > 1")
+    if several.isEmpty():
+        return rows
+    several = written(several.select("doc_id"), "several")
+    once = rows.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows.join(several, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,13 +61,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of all sources, repeated by their source's weight."""
+    """Documents of all sources, repeated by their source's weight. A null source is
+    one of its own; null and empty texts count one token; of equal rows each is drawn
+    for itself."""
     table(spark, sf_dir, "documents")
     return mixing.mixed_documents(docs.select(*COLUMNS), MIXTURE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in token sequences."""
+    """Pieces of all documents in token sequences. A null or empty text is one token;
+    rows are packed as often as they are there; null ids stay null."""
     table(spark, sf_dir, "documents")
     return pack_documents(docs.select(*COLUMNS), tokenizer_path())
 
