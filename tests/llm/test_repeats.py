@@ -6,7 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from acquaint.llm import repeats
+from pyspark.sql import functions as F
+
+from acquaint.llm import repeats, shared
 from tests.llm.data import documents, hard_rows, prose
 
 
@@ -94,5 +96,63 @@ def test_suffix_ranks(depth):
     flat = draw.integers(0, 3, 300).astype(np.uint8)
     text = flat.tobytes()
     heads = [text[i : i + depth] for i in range(len(text))]
-    order = {head: i + 1 for i, head in enumerate(sorted(set(heads)))}
-    assert repeats.suffix_ranks(flat, depth).tolist() == [order[h] for h in heads]
+    order = {head: i for i, head in enumerate(sorted(set(heads)))}
+    known, ranks = repeats.suffix_ranks(flat, depth)[-1]
+    assert known == depth and ranks.tolist() == [order[h] for h in heads]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_previous_factors(seed):
+    """The array itself, against all pairs of starts."""
+    draw = np.random.default_rng(seed)
+    depth = (1, 2, 7, 20, 64, 100)[seed]
+    text = draw.integers(0, 1 + seed % 3, 300).astype(np.uint8)
+    text[150:260] = text[20:130]
+    starts = draw.permutation(len(text) - depth + 1)[:150]
+    expected = []
+    for n, start in enumerate(starts):
+        most = 0
+        for earlier in starts[:n]:
+            same = text[start : start + depth] == text[earlier : earlier + depth]
+            most = max(most, depth if same.all() else int(same.argmin()))
+        expected.append(most)
+    assert repeats.previous_factors(text, starts, depth).tolist() == expected
+    assert len(repeats.previous_factors(text, starts[:0], depth)) == 0
+
+
+def test_long_texts_in_segments(spark, monkeypatch):
+    monkeypatch.setattr(shared.segments, "__defaults__", (500,))
+    monkeypatch.setattr(repeats, "PORTION_BYTES", 3000)
+    check(spark, planted(3))
+
+
+def test_segments_hold_every_window_once():
+    bounds = np.array([0, 10, 10, 260, 300, 420])
+    windows = []
+    for first, last, begin, end in shared.segments(bounds, 4, 50):
+        for row in range(first, last):
+            a, b = max(begin, bounds[row]), min(end, bounds[row + 1])
+            windows += [(row, at) for at in range(a, b - 4)]
+    assert sorted(windows) == [
+        (r, at) for r in range(5) for at in range(bounds[r], bounds[r + 1] - 4)
+    ]
+
+
+def test_many_small_cells(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CELL_BYTES", 300)
+    check(spark, planted(4))
+
+
+def test_thousands_of_null_ids_are_versions_of_many_tasks(spark):
+    rows = [(None, prose(n % 900, 30)) for n in range(2700)] + [(5, prose(3, 30))]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = repeats.keyed(documents(spark, rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert keyed.select("id", "version").distinct().count() == len(rows)
+    shared_ids = keyed.where(F.col("id") == repeats.NULL_ID)
+    assert shared_ids.select(F.shiftright("version", 33)).distinct().count() >= 4
+    removed = repeats.removal(documents(spark, rows)).where("n_removed > 0").count()
+    long = sum(len(prose(n, 30)) >= repeats.LENGTH for n in range(900))
+    assert removed == 2 * long + 1
