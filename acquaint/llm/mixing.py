@@ -3,7 +3,9 @@
 A source with the share p of all tokens gets a weight in proportion to p to the
 power of an exponent: 1 keeps the shares, 0 makes all sources equal. The exponent
 is bisected to meet a target: an entropy of the weights, or a limit on how often
-the most repeated source is repeated. Weights times a budget of tokens give each
+the most repeated source is repeated. What a step of that needs are sums over the
+sources, so a pass of Spark adds them up for many exponents at once, and no source's
+row comes to the driver. Weights times a budget of tokens give each
 source its own budget, which is spent in blocks. A block is one permutation of
 all documents of the source; the last block of a source ends where its budget does.
 
@@ -16,7 +18,7 @@ a range are documents put in order.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +35,10 @@ RANGE_DOCUMENTS = 4096
 MOST_BROADCAST = 100_000
 
 
+#: Passes that bisect the exponent, each to one of so many parts.
+PASSES, GRID = 9, 64
+
+
 @dataclass(frozen=True)
 class Target:
     """What the exponent is bisected for, and the budget.
@@ -53,95 +59,119 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long") + 1
 
 
-def weights(tokens: Sequence[int], exponent: float) -> list[float]:
-    total = sum(tokens)
-    raw = [(t / total) ** exponent for t in tokens]
-    return [x / sum(raw) for x in raw]
-
-
-def entropy(shares: Sequence[float]) -> float:
-    return -sum(x * math.log2(x) for x in shares if x)
-
-
-def budget(tokens: Sequence[int], shares: Sequence[float], target: Target) -> float:
-    if target.tokens is not None:
-        return float(target.tokens)
-    return max(t / w for t, w in zip(tokens, shares))
+#: Sums over the shares p of all sources, for each exponent e: of p ** e, and of
+#: p ** e * log2(p).
+Sums = Callable[[Sequence[float]], Sequence[tuple[float, float]]]
 
 
-def repetitions(tokens: Sequence[int], shares: Sequence[float], target: Target) -> float:
-    whole = budget(tokens, shares, target)
-    return max(whole * w / t for t, w in zip(tokens, shares))
-
-
-def exponent_for(tokens: Sequence[int], target: Target) -> float:
-    """The exponent that meets the target, by bisection between 0 and 1.
+def exponent_for(sums: Sums, least: float, most: float, total: int, target: Target) -> float:
+    """The exponent that meets the target, between 0 and 1.
 
+    ``least`` and ``most`` are the smallest and the largest share of ``total`` tokens.
     A target beyond what 0 or 1 gives is met by that end: with a limit of
     repetitions, by 0 if even equal weights keep it.
     """
-    if len(tokens) < 2:
+    if least == most:
         return 1.0
 
-    def too_flat(exponent: float) -> bool:
-        shares = weights(tokens, exponent)
+    def too_flat(exponent: float, whole: float, logs: float) -> bool:
         if target.entropy is not None:
-            return entropy(shares) > target.entropy
-        return repetitions(tokens, shares, target) > target.repetitions
+            return math.log2(whole) - exponent * logs / whole > target.entropy
+        return repetitions(exponent, whole, least, most, total, target) > target.repetitions
 
+    if not too_flat(0.0, *sums([0.0])[0]):
+        return 0.0
     low, high = 0.0, 1.0
-    if not too_flat(low):
-        return low
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if too_flat(middle) else (low, middle)
+    for _ in range(PASSES):
+        grid = [low + (high - low) * k / GRID for k in range(1, GRID)]
+        flat = [too_flat(e, *s) for e, s in zip(grid, sums(grid))]
+        # It only grows less flat with the exponent.
+        first = flat.index(False) if False in flat else len(flat)
+        low, high = [low, *grid][first], [*grid, high][first]
     return high
 
 
-def _sized(documents: DataFrame, target: Target) -> DataFrame:
-    return documents.select(
+def budget(exponent: float, whole: float, most: float, total: int, target: Target) -> float:
+    """Tokens of the mixture; without a target, each source is used at least once."""
+    return float(target.tokens) if target.tokens is not None else total * whole * most ** (1 - exponent)
+
+
+def repetitions(
+    exponent: float, whole: float, least: float, most: float, total: int, target: Target
+) -> float:
+    """How often the most repeated source is used, the smallest one."""
+    return budget(exponent, whole, most, total, target) / total * least ** (exponent - 1) / whole
+
+
+def _identified(documents: DataFrame, *others: Column) -> DataFrame:
+    """doc_id, source, tokens, text_hash and copy, which tell all rows apart.
+
+    ``copy`` is 0, but for rows that are equal in the others; these are numbered, in a
+    written table, so that they keep their numbers.
+    """
+    rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         token_count(F.col("text")).alias("tokens"),
+        F.xxhash64("text").alias("text_hash"),
+        *others,
     )
+    same = F.xxhash64("doc_id", "source", "text_hash")
+    repeated = rows.groupBy(same.alias("same")).count().where("count > 1").select("same")
+    if repeated.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    repeated = written(repeated, "repeated").withColumn("again", F.lit(True))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("same", same).join(repeated, "same", "left")
+    copy = F.when(F.col("again"), F.col("row")).otherwise(0)
+    return rows.withColumn("copy", copy).drop("same", "again", "row")
 
 
 def _key(block: Column, seed: int) -> Column:
     """Place of a document in a block's permutation, from 0 up to but below 1.
 
-    It depends on the row's own doc_id and source, so equal rows go together.
+    It depends on the row alone; rows that share an id, or are equal, have their own.
     """
-    mixed = F.xxhash64(F.lit(seed), block.cast("long"), "doc_id", "source")
+    mixed = F.xxhash64(F.lit(seed), block.cast("long"), "doc_id", "source", "text_hash", "copy")
     return F.shiftrightunsigned(mixed, 11).cast("double") / F.lit(float(2**53))
 
 
 def budgets(sized: DataFrame, target: Target) -> DataFrame:
-    """source, weight, blocks (whole ones), rest and ranges, a row for each source.
-
-    One row a source is gathered on the driver, which bisects the exponent.
-    """
-    found = (
-        sized.groupBy("source")
-        .agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
-        .collect()
+    """budget_of (the source), weight, blocks (whole ones), rest and ranges of each source."""
+    sources = written(
+        sized.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")),
+        "sources",
     )
-    found = sorted(found, key=lambda r: (r["source"] is not None, r["source"] or ""))
-    tokens = [r["tokens"] for r in found]
-    rows = []
-    if tokens:
-        shares = weights(tokens, exponent_for(tokens, target))
-        whole = budget(tokens, shares, target)
-        for r, share in zip(found, shares):
-            own = whole * share
-            # A budget within a rounding error of whole blocks has no rest.
-            blocks = math.floor(own / r["tokens"] + 1e-9)
-            rest = max(0.0, own - blocks * r["tokens"])
-            ranges = max(1, math.ceil(r["n"] / RANGE_DOCUMENTS))
-            rows.append((r["source"], share, blocks, rest if rest >= 1 else 0.0, ranges))
-    table = sized.sparkSession.createDataFrame(
-        rows, "budget_of string, weight double, blocks long, rest double, ranges long"
+    there, total, least, most = sources.agg(
+        F.count(F.lit(1)), F.sum("tokens"), F.min("tokens"), F.max("tokens")
+    ).first()
+    total = total or 1
+    share = F.col("tokens") / F.lit(total)
+
+    def sums(exponents: Sequence[float]) -> list[tuple[float, float]]:
+        raw = [F.pow(share, F.lit(e)) for e in exponents]
+        found = sources.agg(*map(F.sum, raw), *[F.sum(r * F.log2(share)) for r in raw]).first()
+        return list(zip(found[: len(raw)], found[len(raw) :]))
+
+    exponent, whole = 1.0, 1.0
+    if there:
+        least, most = least / total, most / total
+        exponent = exponent_for(sums, least, most, total, target)
+        whole = sums([exponent])[0][0]
+    tokens = budget(exponent, whole, most or 1.0, total, target)
+    rows = sources.withColumn("weight", F.pow(share, F.lit(exponent)) / F.lit(whole))
+    rows = rows.withColumn("own", F.col("weight") * F.lit(tokens))
+    # A budget within a rounding error of whole blocks has no rest.
+    rows = rows.withColumn("blocks", F.floor(F.col("own") / F.col("tokens") + 1e-9))
+    rest = F.col("own") - F.col("blocks") * F.col("tokens")
+    rows = rows.select(
+        F.col("source").alias("budget_of"),
+        "weight",
+        "blocks",
+        F.when(rest >= 1, rest).otherwise(0.0).alias("rest"),
+        F.ceil(F.col("n") / RANGE_DOCUMENTS).alias("ranges"),
     )
-    return F.broadcast(table) if len(rows) <= MOST_BROADCAST else table
+    return F.broadcast(rows) if there <= MOST_BROADCAST else rows
 
 
 def _same_source(table: DataFrame) -> Column:
@@ -209,11 +239,10 @@ def mixture(documents: DataFrame, target: Target = Target()) -> DataFrame:
 
     ``place`` numbers the documents of a source's block from 0, in the order of
     its permutation. A null source is a source of its own; a null text has the
-    one token of its end. Equal rows stand next to each other, and are in the last
-    block both or not at all. An empty table gives no rows; other columns are
-    ignored.
+    one token of its end. Rows that share an id, or are equal, are drawn each for
+    itself. An empty table gives no rows; other columns are ignored.
     """
-    sized = written(_sized(documents, target), "sized")
+    sized = written(_identified(documents), "sized")
     shares = budgets(sized, target)
     ends = _bounded_ends(sized, shares, target)
     blocks = _with_blocks(sized, shares, ends, target.seed).withColumn(
@@ -246,15 +275,11 @@ def mixed_documents(documents: DataFrame, target: Target = Target()) -> DataFram
     in that of the sources' permutations, whose keys run side by side. Each row
     knows from its key how many blocks it is in.
     """
-    sized = written(_sized(documents, target), "sized")
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = _identified(documents, whole.alias("whole"))
+    sized = written(rows.drop("whole"), "sized")
     shares = budgets(sized, target)
     ends = _bounded_ends(sized, shares, target)
-    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    rows = documents.select(
-        whole.alias("whole"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"),
-    )
     return (
         _with_blocks(rows, shares, ends, target.seed)
         .repartitionByRange("block", "key")

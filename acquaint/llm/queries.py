@@ -68,8 +68,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed so that no source repeats more than twice."""
-    target = mixing.Target(repetitions=2.0)
+    """All documents mixed so that no source is used more than 1.5 times."""
+    target = mixing.Target(repetitions=1.5)
     return mixing.mixture(table(spark, sf_dir, "documents"), target)
 
 

@@ -6,24 +6,71 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from acquaint.llm import mixing
+from acquaint.llm import mixing, queries
 from acquaint.llm.mixing import Target
+from acquaint.llm.shared import written
 from tests.llm.data import documents, hard_rows, prose
 
 
+def weights(tokens, exponent):
+    raw = [(t / sum(tokens)) ** exponent for t in tokens]
+    return [x / sum(raw) for x in raw]
+
+
+def exponent_for(tokens, target):
+    shares = [t / sum(tokens) for t in tokens]
+
+    def sums(exponents):
+        return [
+            (sum(p**e for p in shares), sum(p**e * math.log2(p) for p in shares)) for e in exponents
+        ]
+
+    return mixing.exponent_for(sums, min(shares), max(shares), sum(tokens), target)
+
+
 def test_exponent_meets_a_repetition_limit():
     tokens = [1000, 100, 10]
-    found = mixing.exponent_for(tokens, Target(repetitions=3.0))
+    found = exponent_for(tokens, Target(repetitions=3.0))
     assert math.isclose(found, 1 - math.log(3) / math.log(100), abs_tol=1e-9)
-    assert mixing.exponent_for(tokens, Target(repetitions=1e6)) == 0.0
-    assert math.isclose(mixing.exponent_for(tokens, Target(repetitions=1.0)), 1.0, abs_tol=1e-9)
+    assert exponent_for(tokens, Target(repetitions=1e6)) == 0.0
+    assert math.isclose(exponent_for(tokens, Target(repetitions=1.0)), 1.0, abs_tol=1e-9)
+    assert exponent_for([5, 5, 5], Target(repetitions=1.0)) == 1.0
 
 
 def test_exponent_meets_an_entropy():
     tokens = [1000, 100, 10]
-    found = mixing.exponent_for(tokens, Target(entropy=1.2))
-    assert math.isclose(mixing.entropy(mixing.weights(tokens, found)), 1.2, abs_tol=1e-9)
-    assert mixing.exponent_for(tokens, Target(entropy=9.0)) == 0.0
+    found = exponent_for(tokens, Target(entropy=1.2))
+    entropy = -sum(w * math.log2(w) for w in weights(tokens, found))
+    assert math.isclose(entropy, 1.2, abs_tol=1e-9)
+    assert exponent_for(tokens, Target(entropy=9.0)) == 0.0
+
+
+def test_the_target_of_the_query_binds(spark, sf_dir):
+    """Neither end of the exponent's range meets it on the given tables."""
+    documents_ = queries.table(spark, sf_dir, "documents")
+    sized = written(mixing._identified(documents_), "sized")
+    shares = mixing.budgets(sized, Target(repetitions=1.5)).collect()
+    used = [r.blocks + r.rest / t for r in shares for t in [_tokens(sized, r.budget_of)]]
+    assert math.isclose(max(used), 1.5, abs_tol=0.01) and math.isclose(min(used), 1.0, abs_tol=0.01)
+    assert len({round(r.weight, 6) for r in shares}) > 1
+
+
+def _tokens(sized, source):
+    return sized.where(F.col("source").eqNullSafe(F.lit(source))).agg(F.sum("tokens")).first()[0]
+
+
+@pytest.mark.parametrize("texts", [1, 2000])
+def test_a_limit_holds_for_thousands_of_rows_without_ids(spark, texts):
+    """Rows that share an id, and rows equal in all columns, are drawn one by one."""
+    given = [(n, prose(n, 30), "en", "large") for n in range(400)]
+    given += [(None, f"word {n % texts} " * 2, "en", "small") for n in range(2000)]
+    target = Target(repetitions=1.2)
+    frame = documents(spark, given)
+    for found in (
+        mixing.mixture(frame, target).where("source = 'small'").count(),
+        mixing.mixed_documents(frame, target).where("source = 'small'").count(),
+    ):
+        assert abs(found - 1.2 * 2000) <= 1
 
 
 def rows(n=300):
@@ -35,21 +82,23 @@ def brute(spark, given, target):
     """Documents of each source's blocks, spent from its budget in key order."""
     held = defaultdict(list)
     for doc_id, text, _, source in given:
-        held[source].append((doc_id, len((text or "").split()) + 1))
+        held[source].append((doc_id, len((text or "").split()) + 1, text))
     names = sorted(held, key=lambda s: (s is not None, s or ""))
-    tokens = [sum(t for _, t in held[s]) for s in names]
-    shares = mixing.weights(tokens, mixing.exponent_for(tokens, target))
-    whole = mixing.budget(tokens, shares, target)
+    tokens = [sum(t for _, t, _ in held[s]) for s in names]
+    shares = weights(tokens, exponent_for(tokens, target))
+    whole = target.tokens or max(t / w for t, w in zip(tokens, shares))
     frame = spark.createDataFrame(
-        [(d, s, b) for s in names for d, _ in held[s] for b in range(9)], "doc_id long, source string, b int"
+        [(d, s, x, b) for s in names for d, _, x in held[s] for b in range(9)],
+        "doc_id long, source string, text string, b int",
     )
+    frame = frame.select("*", F.xxhash64("text").alias("text_hash"), F.lit(0).cast("long").alias("copy"))
     keys = {(r[0], r[1], r[2]): r[3] for r in frame.select("doc_id", "source", "b", mixing._key(F.col("b"), target.seed)).collect()}
     found = []
     for name, total, share in zip(names, tokens, shares):
         left, block = whole * share, 0
         while left >= 1:
             order = sorted(held[name], key=lambda x: (keys[x[0], name, block], x[0]))
-            for place, (doc_id, n) in enumerate(order):
+            for place, (doc_id, n, _) in enumerate(order):
                 if left < 1e-6 * total:
                     break
                 found.append((doc_id, name, block, place))
