@@ -27,17 +27,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acquaint.llm.shared import encoded, giving_back, slices
+from acquaint.llm.shared import encoded, giving_back, kept_for, slices
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 UNDETERMINED = "und"
 
-#: Symbols of a text that are parsed without a new start.
+#: Symbols of a stretch. The stretches of a text are parsed side by side, each from the
+#: start; then each is parsed again from where the one before it ended, up to where
+#: both ways agree.
 PARSED_TOGETHER = 512
 
+#: Characters of a text that are parsed at once.
+SEGMENT = 1_000_000
+
 #: States that are followed, and results that are held, at once.
-STATES_TOGETHER, RESULTS_TOGETHER = 500_000, 4_000_000
+STATES_TOGETHER, RESULTS_TOGETHER = 40_000, 4_000_000
 
 #: Bits a character by which a language must be worse to weigh e times less.
 SCORE_BITS = 0.1
@@ -76,16 +81,23 @@ def learned_texts(
     )
     key = ["lang", "size", "mixed"]
     first = Window.partitionBy("lang").orderBy("size", "mixed")
+    before = first.rowsBetween(Window.unboundedPreceding, -1)
     chosen = (
-        rows.select(*key)
+        rows.select(*key, F.length("sample").alias("chars"))
         .distinct()
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= learning.language_documents)
+        .withColumn("taken", F.coalesce(F.sum(F.col("chars") + 1).over(before), F.lit(0)))
+        .where(F.col("taken") < learning.language_chars)
+        .drop("chars")
     )
+    # What is beyond a language's bound is cut here, so no more than that is collected.
+    left = F.lit(learning.language_chars) - F.col("taken")
     found = (
-        rows.join(F.broadcast(chosen), key)
-        .groupBy(*key, "n")
+        rows.join(chosen, key)
+        .groupBy(*key, "n", "taken")
         .agg(F.min("sample").alias("sample"))
+        .withColumn("sample", F.substring("sample", F.lit(1), left.cast("int")))
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("n", "sample"))).alias("found"))
         .select("lang", F.col("found.sample").alias("samples"))
@@ -238,57 +250,131 @@ class CrossParser:
         self._bits = np.array(bits)
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Phrases of each text in each language, its symbols, whether it has letters."""
-        points = [_code_points((text or "").lower()) for text in texts]
+        """Phrases of each text in each language, its symbols, whether it has letters.
+
+        A phrase is the longest match with the learned text, or a symbol in none;
+        phrases follow each other from the text's beginning to its end.
+        """
+        lower = [(text or "").lower() for text in texts]
+        short = [_code_points(t if len(t) <= SEGMENT else "") for t in lower]
+        found, symbols, letters, states = self._parsed(short, self._begin(len(texts)))
+        for n, text in enumerate(lower):
+            if len(text) > SEGMENT:
+                state, before = self._begin(1), 1
+                for at in range(0, len(text), SEGMENT):
+                    points = _code_points(text[at : at + SEGMENT])
+                    more, size, has, state = self._parsed([points], state, before)
+                    found[:, [n]] += more
+                    symbols[n] += size[0]
+                    letters[n] |= has[0]
+                    before = self._symbol[points[-1]]
+                states[:, [n]] = state
+        # The text's end ends a phrase that has begun.
+        return found + (states != self._starts[:, None]), symbols, letters
+
+    def _begin(self, many: int) -> np.ndarray:
+        return np.repeat(self._starts[:, None], many, axis=1)
+
+    def _parsed(
+        self, points: list[np.ndarray], states: np.ndarray, before: int = 1
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases that end in each text, symbols, letters, and the states at its end.
+
+        Texts go on from the states given; ``before`` is the symbol before all of them.
+        """
         sizes = np.fromiter(map(len, points), np.int64, len(points))
         flat = np.concatenate([np.zeros(0, np.uint32), *points])
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        owner = np.repeat(np.arange(len(points)), sizes)
         symbol = self._symbol[flat]
-        starts = np.cumsum(sizes) - sizes
-        first = np.zeros(len(flat), bool)
-        first[starts[sizes > 0]] = True
-        keep = np.ones(len(flat), bool)
-        keep[1:] = (symbol[1:] != 0) | (symbol[:-1] != 0) | first[1:]
-        symbol, owner = symbol[keep], owner[keep]
-        symbols = np.bincount(owner, minlength=len(texts))
-        letters = np.bincount(owner[symbol != 0], minlength=len(texts)) > 0
+        previous = np.empty_like(symbol)
+        previous[1:] = symbol[:-1]
+        previous[(np.cumsum(sizes) - sizes)[sizes > 0]] = before
+        keep = (symbol != 0) | (previous != 0)
+        symbol, owner = symbol[keep].astype(np.int64), owner[keep]
+        symbols = np.bincount(owner, minlength=len(points))
+        letters = np.bincount(owner[symbol != 0], minlength=len(points)) > 0
 
         stretches = -(-symbols // PARSED_TOGETHER)
-        text_of = np.repeat(np.arange(len(texts)), stretches)
-        begin = (np.cumsum(symbols) - symbols)[text_of]
+        text_of = np.repeat(np.arange(len(points)), stretches)
         nth = np.arange(len(text_of)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
-        begin = begin + nth * PARSED_TOGETHER
+        begin = (np.cumsum(symbols) - symbols)[text_of] + nth * PARSED_TOGETHER
         size = np.minimum(PARSED_TOGETHER, symbols[text_of] - nth * PARSED_TOGETHER)
-        order = np.argsort(-size, kind="stable")
-        begin, size, text_of = begin[order], size[order], text_of[order]
-        running = np.searchsorted(-size, -np.arange(1, PARSED_TOGETHER + 1), side="right")
-        symbol = symbol.astype(np.int64)
-        found = np.zeros((len(self.languages), len(texts)))
+        found = np.zeros((len(self.languages), len(points)))
+        ends = states.copy()
+        last = np.cumsum(stretches) - 1
+        there = stretches > 0
         together = max(1, STATES_TOGETHER // max(1, len(begin)))
         for a in range(0, len(self.languages), together):
-            count = self._counted(slice(a, a + together), symbol, begin, running[: size.max(initial=0)])
+            some = slice(a, a + together)
+            count, state = self._counted(some, symbol, begin, size, nth, states[some][:, text_of])
             for language, c in enumerate(count, a):
-                found[language] = np.bincount(text_of, weights=c, minlength=len(texts))
-        return found, symbols, letters
+                found[language] = np.bincount(text_of, weights=c, minlength=len(points))
+            ends[some, there] = state[:, last[there]]
+        return found, symbols, letters, ends
 
     def _counted(
-        self, languages: slice, symbol: np.ndarray, begin: np.ndarray, running: np.ndarray
-    ) -> np.ndarray:
-        """Phrases of each stretch in each language; the longest stretches come first."""
-        start, fresh = self._starts[languages, None], self._fresh[languages]
-        state = np.repeat(start, len(begin), axis=1)
-        count = np.zeros(state.shape, np.int32)
+        self, languages: slice, symbol: np.ndarray, begin: np.ndarray, size: np.ndarray,
+        nth: np.ndarray, given: np.ndarray,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in each stretch in each language, and the states at its end.
+
+        ``nth`` numbers the stretches of a text, which follow each other; ``given`` is
+        where texts begin.
+        """
+        start, fresh = self._starts[languages], self._fresh[languages]
+        steps = int(size.max(initial=0))
+        states = np.zeros((steps + 1, *given.shape), np.int64)
+        ended = np.zeros((steps, *given.shape), np.int8)
+        states[0] = np.where(nth == 0, given, start[:, None])
+        # The longest stretches come first, so that those still running are a range.
+        order = np.argsort(-size, kind="stable")
+        running = np.searchsorted(-size[order], -np.arange(1, steps + 1), side="right")
+        now = states[0][:, order]
         for step, n in enumerate(running.tolist()):
-            now = state[:, :n]
-            by = symbol[begin[:n] + step]
-            then, ends = self._next(now + by)
-            language, at = np.nonzero(ends)
-            # One phrase ends if one has begun; a symbol that is in no match is another.
-            first, own = fresh[language, by[at]], start[language, 0]
-            count[language, at] += (now[language, at] != own).astype(np.int32) + (first == own)
-            then[language, at] = first
-            now[...] = then
-        return count + (state != start)
+            at = order[:n]
+            now, ends = self._step(now[:, :n], symbol[begin[at] + step], start[:, None], fresh)
+            states[step + 1][:, at] = now
+            ended[step][:, at] = ends
+        ends = states[size, :, np.arange(len(size))].T.copy()
+        # Where a stretch begins, the one before it has ended: from there until both agree.
+        reached = np.concatenate((ends[:, :1], ends[:, :-1]), axis=1)
+        language, at = np.nonzero((nth > 0) & (reached != states[0]))
+        while len(at):
+            state, step = ends[language, at - 1], 0
+            states[0][language, at] = state
+            apart_language, apart_at = language, at
+            while len(apart_at):
+                by = symbol[begin[apart_at] + step]
+                state, new = self._step(state, by, start[apart_language], fresh, apart_language)
+                ended[step][apart_language, apart_at] = new
+                step += 1
+                apart = states[step][apart_language, apart_at] != state
+                states[step][apart_language, apart_at] = state
+                done = apart & (size[apart_at] == step)
+                ends[apart_language[done], apart_at[done]] = state[done]
+                apart &= size[apart_at] > step
+                apart_language, apart_at, state = apart_language[apart], apart_at[apart], state[apart]
+            follows = at + 1 < len(nth)
+            language, at = language[follows], at[follows] + 1
+            changed = (nth[at] > 0) & (ends[language, at - 1] != states[0][language, at])
+            language, at = language[changed], at[changed]
+        return ended.sum(axis=0, dtype=np.int64), ends
+
+    def _step(self, now, by, start, fresh, language=None) -> tuple[np.ndarray, np.ndarray]:
+        """The states after a symbol each, and the phrases that end with that."""
+        then, stops = self._next(now + by)
+        if language is None:
+            row, at = np.nonzero(stops)
+            first, own = fresh[row, by[at]], start[row, 0]
+            where = (row, at)
+        else:
+            (where,) = np.nonzero(stops)
+            first, own = fresh[language[where], by[where]], start[where]
+        ends = np.zeros(then.shape, np.int8)
+        # One phrase ends if one has begun; a symbol that is in no match is another.
+        ends[where] = (now[where] != own).astype(np.int8) + (first == own)
+        then[where] = first
+        return then, ends
 
     def predict(self, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
         if not self.languages:
@@ -311,7 +397,7 @@ class CrossParser:
         return names[np.where(letters, best, len(self.languages))], score
 
 
-@functools.lru_cache(maxsize=2)
+@kept_for("acquaint.llm.language")
 def cross_parser(learned: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(learned)
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -40,14 +41,45 @@ def test_phrases_are_longest_matches(text):
     assert found[:, 1].tolist() == found[:, 2].tolist() == [0, 0]
 
 
-def test_long_texts_are_parsed_in_stretches():
-    learned = (("one", "ab" * 50 + "ba" * 30),)
+@pytest.mark.parametrize("together, segment", [(1, 10**6), (3, 10**6), (512, 10**6), (7, 50), (512, 333)])
+def test_long_texts_are_parsed_as_a_whole(monkeypatch, together, segment):
+    """Stretches and segments leave no trace, also where parses never meet."""
+    monkeypatch.setattr(language, "PARSED_TOGETHER", together)
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    draw = random.Random(together)
+    learned = (
+        ("one", "ab" * 50 + "ba" * 30),
+        ("three", "a" * 40),
+        ("two", " ".join("".join(draw.choices("abc", k=4)) for _ in range(60))),
+    )
     parser = language.CrossParser(learned)
-    text = "abba" * 700
-    whole = symbols(parser, text)
-    cut = [whole[i : i + language.PARSED_TOGETHER] for i in range(0, len(whole), language.PARSED_TOGETHER)]
-    found, _, _ = parser.phrases([text])
-    assert found[0, 0] == sum(phrases(symbols(parser, learned[0][1]), part) for part in cut)
+    texts = ["abba" * 200, "a" * 777, "q", "", "a  b " * 99]
+    texts.append(" ".join("".join(draw.choices("abcd", k=draw.randint(1, 9))) for _ in range(250)))
+    found, sizes, _ = parser.phrases(texts)
+    for n, text in enumerate(texts):
+        whole = symbols(parser, text)
+        assert sizes[n] == len(whole)
+        for row, (_, sample) in enumerate(learned):
+            assert found[row, n] == phrases(symbols(parser, sample), whole)
+
+
+def test_the_language_of_fewest_normalised_phrases_wins():
+    """The choice and its score, from plainly counted phrases."""
+    draw = random.Random(8)
+    words = {lang: ["".join(draw.choices("abcdefgh", k=4)) for _ in range(40)] for lang in ("x", "y", "z")}
+    learned = tuple((lang, " ".join(draw.choices(w, k=60 * n))) for n, (lang, w) in enumerate(words.items(), 1))
+    parser = language.CrossParser(learned)
+    texts = [" ".join(draw.choices(words[lang], k=k)) for lang in words for k in (1, 5, 40)] + ["q ab", "aaaa"]
+    chosen, score = parser.predict(texts)
+    for text, lang, share in zip(texts, chosen.to_pylist(), score.to_pylist()):
+        whole = symbols(parser, text)
+        bits = [
+            phrases(symbols(parser, sample), whole) * math.log2(len(symbols(parser, sample))) / len(whole)
+            for _, sample in learned
+        ]
+        weights = [math.exp(-b / language.SCORE_BITS) for b in bits]
+        assert lang == learned[bits.index(min(bits))][0]
+        assert math.isclose(share, max(weights) / sum(weights), rel_tol=1e-9)
 
 
 def test_hard_rows(spark):
