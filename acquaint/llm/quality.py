@@ -150,8 +150,9 @@ def learning_rows(
     """Features and labels of a bounded sample of labelled documents.
 
     A document whose label rows disagree counts as what most of them say, a tie
-    as 1. The sample is drawn by a hash of doc_id; its expected size is
-    ``learning.rows``, or all rows if there are fewer.
+    as 1, and one of several rows counts once, by its smallest features. The sample is
+    drawn by a hash of doc_id; its expected size is ``learning.rows``, or all
+    documents if there are fewer.
     """
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
@@ -165,7 +166,7 @@ def learning_rows(
     chosen = marked.where(drawn)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # About learning.rows ids, so their size is bounded whatever the tables hold.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
     @giving_back
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,11 +176,13 @@ def learning_rows(
                 values = text_features(part.column("text"))
                 lists = pa.FixedSizeListArray.from_arrays(values.ravel(), len(FEATURES))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("label"), lists.cast(pa.list_(pa.float64()))],
-                    ["label", "features"],
+                    [part.column("doc_id"), part.column("label"), lists.cast(pa.list_(pa.float64()))],
+                    ["doc_id", "label", "features"],
                 )
 
-    found = rows.mapInArrow(features, "label double, features array<double>").toArrow()
+    found = rows.mapInArrow(features, "doc_id long, label double, features array<double>")
+    # One row a document, whatever rows share its id.
+    found = found.groupBy("doc_id", "label").agg(F.min("features").alias("features")).toArrow()
     values = np.array(found.column("features").to_pylist(), float)
     label = found.column("label").to_numpy()
     values = values.reshape(-1, len(FEATURES))

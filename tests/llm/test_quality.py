@@ -44,7 +44,7 @@ def test_hard_rows_and_labels(spark):
         "doc_id long, quality int, toxic int, text string",
     )
     found = quality.learning_rows(rows, labels, F.lit(True), quality.Learning())
-    assert found[1].tolist() == [0.0, 1.0, 1.0]
+    assert found[1].tolist() == [0.0, 1.0]
     scores = quality.score_documents(rows, quality.fit(*found), F.lit(False)).collect()
     assert len(scores) == len(hard_rows())
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in scores)
@@ -65,3 +65,10 @@ def test_held_out_accuracy(spark, sf_dir):
     found = op3_quality(spark, sf_dir).join(labels, "doc_id").where("held_out").collect()
     right = sum(r.predicted == r.quality for r in found)
     assert right / len(found) > 0.95
+
+
+def test_an_id_of_many_rows_teaches_once(spark):
+    rows = documents(spark, [(1, f"text {n}") for n in range(3000)] + [(2, "other")])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    values, marks = quality.learning_rows(rows, labels, F.lit(True), quality.Learning())
+    assert len(values) == 2 and sorted(marks) == [0.0, 1.0]
