@@ -69,6 +69,6 @@ def test_mixing_repeats_and_loses_nothing(spark, sf_dir):
 
 def test_all_are_registered():
     found = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert found["pipeline"] is corpus_pipeline.run
     assert set(__spark_entry__.oracle_sql()) <= set(found)
