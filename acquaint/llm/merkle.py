@@ -11,6 +11,7 @@ where roots differ, the branches that differ locate the edits.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -33,8 +34,8 @@ SMALLEST, LARGEST = 4, 32
 #: Stands for a null doc_id, after all others in descending order.
 NULL_ID = -(2**63)
 
-#: Ranges of doc_ids for each shuffle partition, and sampled ids for each range.
-RANGES_PER_PARTITION, IDS_PER_RANGE = 4, 50
+#: Ranges of doc_ids and texts for each shuffle partition, and sampled places for each.
+RANGES_PER_PARTITION, PLACES_PER_RANGE = 4, 50
 
 FINGERPRINTS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
@@ -121,17 +122,68 @@ def tree(text: bytes) -> Tree:
 
 
 def likeness(a: Tree, b: Tree) -> float:
-    """Bytes in leaves that both have, in share of all their bytes; 1 if equal."""
+    """Bytes in branches that both have, in share of all their bytes; 1 if equal.
+
+    Goes down both trees: sections that both have are shared whole, then paragraphs
+    of the other sections, then leaves of the other paragraphs.
+    """
     if a.root == b.root:
         return 1.0
-    whole = sum(a.sizes) + sum(b.sizes)
-    held = Counter(a.leaves)
-    shared = 0
-    for leaf, size in zip(b.leaves, b.sizes):
-        if held.get(leaf, 0):
-            held[leaf] -= 1
-            shared += size
-    return 2 * shared / whole
+    ours, theirs, same = _apart(_branches(a.sections, a), _branches(b.sections, b))
+    ours, theirs, more = _apart(_inside(a, ours), _inside(b, theirs))
+    shared = sum(sum(b.sizes[first:last]) for _, first, last in same + more)
+    held = Counter(leaf for _, first, last in ours for leaf in a.leaves[first:last])
+    for _, first, last in theirs:
+        for leaf, size in zip(b.leaves[first:last], b.sizes[first:last]):
+            if held.get(leaf, 0):
+                held[leaf] -= 1
+                shared += size
+    return 2 * shared / (sum(a.sizes) + sum(b.sizes))
+
+
+#: A hash, and the leaves below it, from and to.
+Branch = tuple[bytes, int, int]
+
+
+def _branches(sections: list[tuple[bytes, int]], of: Tree) -> list[Branch]:
+    begins = [of.paragraphs[first][1] for _, first in sections]
+    return [
+        (node, begin, end) for (node, _), begin, end in zip(sections, begins, [*begins[1:], len(of.leaves)])
+    ]
+
+
+def _inside(of: Tree, sections: list[Branch]) -> list[Branch]:
+    """The paragraphs of sections."""
+    begins = [first for _, first in of.paragraphs]
+    found = []
+    for _, first, last in sections:
+        at = bisect_left(begins, first)
+        while at < len(begins) and begins[at] < last:
+            end = begins[at + 1] if at + 1 < len(begins) else len(of.leaves)
+            found.append((of.paragraphs[at][0], begins[at], end))
+            at += 1
+    return found
+
+
+def _apart(ours: list[Branch], theirs: list[Branch]) -> tuple[list[Branch], list[Branch], list[Branch]]:
+    """Branches that only one side has, and those of theirs that both have, each as
+    often as both have it."""
+    there = Counter(node for node, _, _ in theirs)
+    here = Counter(node for node, _, _ in ours)
+    left = []
+    for branch in ours:
+        if there[branch[0]] > 0:
+            there[branch[0]] -= 1
+        else:
+            left.append(branch)
+    others, same = [], []
+    for branch in theirs:
+        if here[branch[0]] > 0:
+            here[branch[0]] -= 1
+            same.append(branch)
+        else:
+            others.append(branch)
+    return left, others, same
 
 
 def first_difference(a: Tree, b: Tree) -> int | None:
@@ -172,10 +224,12 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     empty table gives no rows; other columns are ignored.
     """
     given = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
+        F.xxhash64("text").alias("mixed"),
+        "text",
     )
-    firsts = _range_firsts(given.select("id"))
-    if not len(firsts):
+    firsts = _range_firsts(given.select("id", "mixed"))
+    if not firsts:
         return given.sparkSession.createDataFrame([], FINGERPRINTS)
     return (
         given.mapInArrow(
@@ -187,41 +241,49 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     )
 
 
-def _range_firsts(ids: DataFrame) -> np.ndarray:
-    """The largest id of each range, descending; all of them occur in the table.
+def _range_firsts(rows: DataFrame) -> list[tuple[int, int]]:
+    """The first place of each range: ids in descending order, hashes of text within.
 
+    All but the last occur in the table; they are negated ids, so that places ascend.
     Their number follows the shuffle partitions; they are picked from a sample of
-    as many ids times IDS_PER_RANGE.
+    as many different places times PLACES_PER_RANGE, so an id that many rows share
+    is cut by their texts.
     """
-    ranges = RANGES_PER_PARTITION * parts(ids.sparkSession)
-    there = ids.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("most")).first()
-    share = min(1.0, ranges * IDS_PER_RANGE / max(1, there["n"]))
-    drawn = F.pmod(F.xxhash64("id"), F.lit(1_000_000_007)) <= F.lit(int(share * 1_000_000_007))
-    sample = ids.where(drawn).toArrow().column("id").to_numpy()
-    sample = np.sort(np.unique(sample))[::-1]
+    ranges = RANGES_PER_PARTITION * parts(rows.sparkSession)
+    there = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct((-F.col("id").cast("decimal(20,0)")).alias("a"), "mixed"))
+    ).first()
+    if not there["n"]:
+        return []
+    share = min(1.0, ranges * PLACES_PER_RANGE / there["n"])
+    drawn = F.pmod(F.xxhash64("id", "mixed"), F.lit(1_000_000_007)) <= F.lit(int(share * 1_000_000_007))
+    # Equal rows count once, so the sample is bounded whatever is drawn.
+    sample = sorted((-r["id"], r["mixed"]) for r in rows.where(drawn).distinct().collect())
     step = max(1, len(sample) // ranges)
-    found = [] if there["most"] is None else [[there["most"]], sample[::step]]
-    return np.unique(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64))[::-1]
+    least = (int(there[1]["a"]), there[1]["mixed"])
+    return sorted({least, *sample[::step]})
 
 
-def _dealt(firsts: np.ndarray):
+def _dealt(firsts: list[tuple[int, int]]):
     """Rows with the number of their range; the first of a range also goes to the
     range before, to be the document that follows there."""
-    rising = firsts[::-1].copy()
     ranges = len(firsts)
 
     @giving_back
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            ids = batch.column("id").to_numpy()
-            at = ranges - 1 - np.searchsorted(rising, ids, side="left")
-            first = np.flatnonzero(rising[ranges - 1 - at] == ids)
+            places = [
+                (-id_, mixed)
+                for id_, mixed in zip(*(batch.column(c).to_pylist() for c in ("id", "mixed")))
+            ]
+            at = np.array([bisect_right(firsts, place) - 1 for place in places], np.int64)
+            first = np.array([n for n, place in enumerate(places) if firsts[at[n]] == place], np.int64)
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             columns = [
                 pa.array(at, pa.int32()),
-                pa.array(np.zeros(len(ids), bool)),
+                pa.array(np.zeros(len(at), bool)),
                 batch.column("id"),
-                pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64()),
+                batch.column("mixed"),
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([pa.compress(t, "zstd", asbytes=True) for t in texts], pa.binary()),
             ]

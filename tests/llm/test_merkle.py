@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from acquaint.llm import merkle
 from tests.llm.data import documents, hard_rows, prose
@@ -103,3 +105,45 @@ def test_unchanged_part_is_found_in_any_text(text):
     for piece in merkle.pieces(text.encode()):
         assert len(piece) <= merkle.LARGEST
         piece.decode()
+
+
+def test_likeness_goes_down_the_tree():
+    """As much as all leaves in one bag share, and whole branches first."""
+    draw = random.Random(5)
+    paragraphs = [prose(n, draw.randint(1, 60)).replace("\n", " ") + "\n" for n in range(60)]
+    one = "".join(draw.choices(paragraphs, k=80))
+    for edits in (0, 1, 5, 40):
+        changed = list(one)
+        for _ in range(edits):
+            changed[draw.randrange(len(changed))] = "#"
+        a, b = merkle.tree(one.encode()), merkle.tree("".join(changed).encode())
+        bag = Counter(a.leaves) & Counter(b.leaves)
+        size = dict(zip(b.leaves, b.sizes))
+        most = 2 * sum(n * size[leaf] for leaf, n in bag.items()) / (sum(a.sizes) + sum(b.sizes))
+        assert most - 0.02 <= merkle.likeness(a, b) <= most + 1e-9
+        assert merkle.likeness(a, b) == merkle.likeness(b, a)
+
+
+def test_an_id_of_many_rows_is_cut_into_ranges(spark):
+    rows = [(None, prose(n, 5)) for n in range(4000)]
+    given = documents(spark, rows).select(
+        F.lit(merkle.NULL_ID).alias("id"), F.xxhash64("text").alias("mixed")
+    )
+    assert len(merkle._range_firsts(given)) >= 8
+    found = merkle.fingerprints(documents(spark, rows)).collect()
+    assert len(found) == 4000
+    # Every row follows one: the edited texts come from as many following texts.
+    texts = sorted((r[1] for r in rows), key=lambda t: t)
+    hashes = {r.text: r.mixed for r in documents(spark, rows).select("text", F.xxhash64("text").alias("mixed")).collect()}
+    order = sorted(texts, key=hashes.get)
+    wanted = Counter(
+        hashlib.sha256(merkle.edited(t, u).encode()).hexdigest() for t, u in zip(order, order[1:] + order[:1])
+    )
+    assert Counter(r.edited_sha256 for r in found) == wanted
+
+
+def test_equal_rows_bring_one_place_to_the_driver(spark):
+    rows = [(7, "the same text")] * 3000
+    given = documents(spark, rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("mixed"))
+    assert len(merkle._range_firsts(given)) == 1
+    assert merkle.fingerprints(documents(spark, rows)).count() == 3000
