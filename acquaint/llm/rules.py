@@ -101,8 +101,13 @@ class DecisionList:
 NO_RULES = DecisionList(0, ())
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _class(characters: str) -> str:
+    """What a regular expression's brackets hold for these characters."""
+    return "".join(c if c.isalnum() else f"\\{c}" for c in characters)
+
+
+def _count(text: Column, characters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
 def counts(documents: DataFrame) -> DataFrame:
@@ -111,76 +116,109 @@ def counts(documents: DataFrame) -> DataFrame:
     Words are runs of characters other than ASCII white space. n_repeat_words are
     the words in three-word windows that occur twice or more in the text, compared
     as text; n_dup_lines the lines with a word that equal an earlier one. A text's
-    windows are held together, some 250 bytes a word.
+    words are held together with a hash of each window, a few hundred bytes a word.
+
+    Each step names what the next uses more than once, so that Spark keeps them
+    apart, makes each list once and compiles all but the lambdas.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    spaced = F.translate(text, _SPACES, " " * len(_SPACES))
-    words = F.filter(F.split(spaced, " "), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: _without(x, _SPACES) > 0)
-    rows = documents.select(
+    counted = SYMBOLS + MARKS + _CAPITALS + _DIGITS
+    lists = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        # Bound to a name, so that each list is made once.
-        F.transform(F.array(words), _word_counts)[0].alias("of_words"),
-        F.transform(
-            F.array(lines),
-            lambda x: F.struct(
-                F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")
-            ),
-        )[0].alias("of_lines"),
-        F.transform(
-            F.array(F.translate(text, _SPACES, "")),
-            lambda x: F.struct(
-                F.length(x).alias("word_chars"),
-                *[
-                    (F.length(x) - _without(x, characters)).alias(name)
-                    for name, characters in (
-                        ("n_symbols", SYMBOLS),
-                        ("n_marks", MARKS),
-                        ("n_capitals", _CAPITALS),
-                        ("n_digits", _DIGITS),
-                    )
-                ],
-            ),
-        )[0].alias("of_characters"),
+        F.array_remove(F.split(text, f"[{_class(_SPACES)}]+"), "").alias("words"),
+        F.filter(F.split(text, "\n"), lambda x: F.ltrim(x, F.lit(_SPACES)) != "").alias("lines"),
+        # Few characters of prose: one pass leaves them, the others read no more.
+        F.regexp_replace(text, f"[^{_class(counted)}]+", "").alias("counted"),
     )
-    rows = rows.select("doc_id", "of_words.*", "of_lines.*", "of_characters.*")
-    return rows.select("doc_id", *[F.col(c).cast("long").alias(c) for c in rows.columns[1:]])
+    hashed = lists.withColumn("hashes", _window_hashes(F.col("words")))
+    sorted_ = hashed.withColumn("keys", _sorted_keys(F.col("hashes")))
+    shared = sorted_.withColumn("shared", _shared(F.col("keys")))
+    read = shared.withColumn("windows", _window_texts(F.col("words"), F.col("shared")))
+    values = {
+        "n_words": F.size("words"),
+        "n_distinct": F.size(F.array_distinct("words")),
+        "n_repeat_words": _covered(_equal_places(F.col("windows"), F.col("shared"))),
+        "n_lines": F.size("lines"),
+        "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
+        "word_chars": F.length(F.array_join("words", "")),
+        "n_symbols": _count(F.col("counted"), SYMBOLS),
+        "n_marks": _count(F.col("counted"), MARKS),
+        "n_capitals": _count(F.col("counted"), _CAPITALS),
+        "n_digits": _count(F.col("counted"), _DIGITS),
+    }
+    return read.select("doc_id", *[c.cast("long").alias(name) for name, c in values.items()])
+
+
+#: Low bits of a key that hold a window's place; a Java array has no more elements.
+_PLACE_BITS = 31
 
 
-def _word_counts(words: Column) -> Column:
-    return F.struct(
-        F.size(words).alias("n_words"),
-        F.size(F.array_distinct(words)).alias("n_distinct"),
-        F.when(F.size(words) < 4, 0)
-        .otherwise(F.transform(F.array(F.sort_array(_windows(words))), _repeat_words)[0])
-        .alias("n_repeat_words"),
+def _window_hashes(words: Column) -> Column:
+    """A hash of each three-word window, in order."""
+    starts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+    return F.transform(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+
+
+def _sorted_keys(hashes: Column) -> Column:
+    """The last 33 bits of each hash with its place, sorted; nothing if no hash repeats."""
+    keys = F.transform(hashes, lambda h, i: F.shiftleft(h, _PLACE_BITS).bitwiseOR(i.cast("long")))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.sort_array(keys)).otherwise(
+        F.array().cast("array<long>")
     )
 
 
-def _windows(words: Column) -> Column:
-    """Hash, text and place of all three-word windows; the hash only speeds sorting."""
+def _hash(key: Column) -> Column:
+    return F.shiftright(key, _PLACE_BITS)
+
 
-    def window(i: Column) -> Column:
-        here = F.concat_ws(" ", *[F.get(words, i + k) for k in range(3)])
-        return F.struct(F.xxhash64(here).alias("hash"), here.alias("text"), i.alias("at"))
+def _place(key: Column) -> Column:
+    return key.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1).cast("long")).cast("int")
 
-    return F.transform(F.sequence(F.lit(0), F.size(words) - 3), window)
 
+def _shared(keys: Column) -> Column:
+    """Of sorted keys, those whose part of a hash another one has too."""
 
-def _repeat_words(windows: Column) -> Column:
-    """Words in windows that stand beside an equal one in sorted order."""
+    def beside(key: Column, i: Column) -> Column:
+        return (_hash(key) == _hash(F.get(keys, i - 1))) | (_hash(key) == _hash(F.get(keys, i + 1)))
 
-    def same(a: Column, b: Column) -> Column:
-        return (a["hash"] == b["hash"]) & (a["text"] == b["text"])
+    return F.filter(keys, beside)
 
-    def flagged(w: Column, i: Column) -> Column:
+
+def _window_texts(words: Column, keys: Column) -> Column:
+    return F.transform(
+        keys, lambda key: F.concat_ws(" ", *[F.get(words, _place(key) + k) for k in range(3)])
+    )
+
+
+def _equal_places(texts: Column, keys: Column) -> Column:
+    """Places of the windows whose text another window of these has too.
+
+    Where there are as many texts as hashes, those with one hash are equal. Else
+    the texts are sorted.
+    """
+
+    windows = F.transform(keys, lambda key, i: F.struct(F.get(texts, i).alias("text"), _place(key).alias("at")))
+    # Bound to a name, so that the list is sorted once.
+    found = F.transform(F.array(F.sort_array(windows)), _beside_equal)[0]
+    hashes = F.transform(keys, _hash)
+    return F.when(
+        F.size(F.array_distinct(texts)) == F.size(F.array_distinct(hashes)), F.transform(keys, _place)
+    ).otherwise(found)
+
+
+def _beside_equal(windows: Column) -> Column:
+    """Places of windows that stand beside an equal one in sorted order."""
+
+    def equal(w: Column, i: Column) -> Column:
         before, after = F.get(windows, i - 1), F.get(windows, i + 1)
-        again = F.coalesce(same(w, before), F.lit(False)) | F.coalesce(same(w, after), F.lit(False))
-        return F.when(again, w["at"])
+        return (w["text"] == before["text"]) | (w["text"] == after["text"])
+
+    return F.transform(F.filter(windows, equal), lambda w: w["at"])
+
 
-    places = F.filter(F.transform(windows, flagged), lambda at: at.isNotNull())
-    covered = F.flatten(F.transform(places, lambda at: F.array(at, at + 1, at + 2)))
-    return F.size(F.array_distinct(covered))
+def _covered(places: Column) -> Column:
+    """Words in the windows at these places."""
+    return F.size(F.array_distinct(F.flatten(F.transform(places, lambda at: F.array(at, at + 1, at + 2)))))
 
 
 def base_failed() -> Column:

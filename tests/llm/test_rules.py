@@ -53,6 +53,21 @@ def test_base_limits(spark):
     assert [r["x"] for r in failed] == [True, False, True, False, True]
 
 
+def test_windows_that_share_only_a_part_of_their_hash(spark):
+    """Of 300,000 different windows some have equal keys; none is a repeat."""
+    text = " ".join(map(str, range(300_000)))
+    words = documents(spark, [(1, text)]).select(F.split("text", " ").alias("words"))
+    keys = words.select(rules._window_hashes(F.col("words")).alias("hashes")).select(
+        # One hash twice, as without any the keys are left out.
+        rules._sorted_keys(F.concat("hashes", F.slice("hashes", 1, 1))).alias("keys")
+    )
+    shared = keys.select(F.size(rules._shared(F.col("keys"))).alias("n")).first()["n"]
+    assert 2 < shared < 100
+    assert counted(spark, [text, text + " 0 1 2", "0 1 2 " + text]) == [
+        plain(t) for t in (text, text + " 0 1 2", "0 1 2 " + text)
+    ]
+
+
 def labelled(spark, rows):
     columns = ", ".join(f"{m} int" for m in rules.MEASURES)
     frame = spark.createDataFrame(rows, f"doc_id long, label int, {columns}, sought string")
@@ -189,3 +204,13 @@ def test_the_plan_has_no_python(spark, sf_dir):
     plan = plan_of(rules.counts(queries.table(spark, sf_dir, "documents")))
     for unwanted in ("Python", "Pandas", "Arrow", "Exchange"):
         assert unwanted not in plan
+
+
+def test_whole_texts_are_not_translated_nor_all_windows_sorted(spark, sf_dir):
+    """Both took most of the time: a map is asked for each character, a comparison
+    of rows made for each window."""
+    from tests.plans import plan_of
+
+    plan = re.sub(r"[ \n]|#\d+", "", plan_of(rules.counts(queries.table(spark, sf_dir, "documents"))))
+    assert "translate(coalesce(text" not in plan
+    assert "sort_array(transform(shared" in plan and "sort_array(transform(sequence" not in plan
