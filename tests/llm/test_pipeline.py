@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import pyarrow as pa
+
 import __spark_entry__
 import corpus_pipeline
 from acquaint.llm import minhash, queries
@@ -67,6 +69,35 @@ def test_mixing_repeats_and_loses_nothing(spark, sf_dir):
     assert len(copies) == docs.count() and max(copies.values()) <= 2
 
 
+def test_texts_go_to_workers_in_small_batches(spark, tmp_path, monkeypatch):
+    """Long texts, one longer than a batch, reach packing a few at a time, all of them."""
+    monkeypatch.setattr(corpus_pipeline, "BATCH_BYTES", 100_000)
+    rows = [(i, "word " * 2000, "en", "a") for i in range(200)]
+    rows += [(200, "word " * 30_000, "en", "a"), (201, None, None, None)]
+    sf_dir = tables(spark, tmp_path, rows, [])
+    docs = queries.table(spark, sf_dir, "documents").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            n = pa.array([batch.num_rows])
+            yield pa.RecordBatch.from_arrays([n, pa.array([batch.nbytes])], ["n", "size"])
+
+    monkeypatch.setattr(
+        corpus_pipeline, "pack_documents", lambda docs, _: docs.mapInArrow(sizes, "n long, size long")
+    )
+    spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+    try:
+        found = corpus_pipeline.packing(spark, docs, sf_dir).collect()
+        assert sum(r.n for r in found) == 202
+        # A batch ends with the row that fills it.
+        assert max(r.size for r in found if r.n > 1) < 100_000 + 160_000
+        assert len(found) >= 15
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, "64m")
+        assert len(corpus_pipeline.packing(spark, docs, sf_dir).collect()) == 1
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+
+
 def test_all_are_registered():
     found = __spark_entry__.queries()
     assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
