@@ -69,3 +69,19 @@ def for_keys(stored: DataFrame, table: str, column: str, keys: DataFrame) -> Dat
     """
     rows = typed(stored, table)
     return rows.join(keys.toDF(column), column, "left_semi").select(*rows.columns)
+
+
+def wide_for_keys(stored: DataFrame, table: str, column: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``for_keys``, for a table of long rows that may come from a join.
+
+    Spark leaves a semi join above computed columns, where all rows would be
+    shuffled with their text. It moves a filter below them and below a join that
+    adds text, so only the rows of a key are carried on. Keys of another type
+    than the column are compared as a join does, not as IN does.
+    """
+    rows = typed(stored, table)
+    wanted = keys.toDF(column)
+    if wanted.schema[column].dataType != rows.schema[column].dataType:
+        return for_keys(stored, table, column, keys)
+    key = F.col(column)
+    return rows.where(key.isNotNull() & key.isin(wanted.where(key.isNotNull())))

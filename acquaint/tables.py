@@ -99,7 +99,7 @@ class SocialTables:
         return lookups.by_key(self.review, "review", "user_id", user_id)
 
     def reviews_of_all(self, user_ids: DataFrame) -> DataFrame:
-        return lookups.for_keys(self.review, "review", "user_id", user_ids)
+        return lookups.wide_for_keys(self.review, "review", "user_id", user_ids)
 
     def review_summaries(self) -> DataFrame:
         return summaries.review_summary(self.review)

@@ -8,10 +8,13 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
+from acquaint import SocialTables
 from acquaint.functions import typed
 from acquaint.operators import lookups
 from acquaint.schemas import SCHEMAS
 from tests.helpers import elite, friend, review, rows, tables, user
+from tests.plans import plan_of
+from workload.standins import reviews
 
 
 @pytest.fixture(scope="module")
@@ -161,6 +164,51 @@ def test_lookup_of_a_key_table(spark, t):
     assert rows(t.friends_of_all(keys)) == rows(t.friends_of("a"))
 
 
+def test_lookup_of_keys_from_the_table_itself(t):
+    own = t.review.where("user_id = 'a'").select("user_id")
+    assert rows(t.reviews_of_all(own)) == rows(t.reviews_of("a"))
+    everyone = t.reviews().select("user_id")
+    assert rows(t.reviews_of_all(everyone)) == rows(t.reviews())
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_keys_of_another_type_compare_as_in_a_join(spark, ansi):
+    t = tables(spark, review=[review("r1", "1"), review("r2", "01"), review("r3", "2")])
+    keys = spark.createDataFrame([(1,), (1,), (None,)], "k bigint")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = sorted(r["review_id"] for r in t.reviews_of_all(keys).collect())
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert found == ["r1", "r2"]
+
+
+def test_reviews_without_a_key_do_not_meet_the_texts(spark):
+    """Keys are looked up in the orders, before reviews are as long as their texts."""
+    orders = spark.createDataFrame(
+        [(0, 1), (1, 1), (2, 2), (2, 2), (3, 3), (4, None), (None, 1), (14, 2)],
+        "o_orderkey bigint, o_custkey bigint",
+    ).withColumn("o_orderdate", F.lit("2020-02-03").cast("timestamp_ntz"))
+    documents = spark.createDataFrame(
+        [(0, "zero"), (1, "b"), (1, "a"), (2, "two"), (None, "none"), (9, "unused")],
+        "doc_id bigint, text string",
+    )
+    t = SocialTables(lambda table: reviews(orders, documents))
+    keys = spark.createDataFrame([("u1",), ("u2",), ("u2",), (None,), ("u9",)], "k string")
+    found = t.reviews_of_all(keys)
+    assert rows(found.select("review_id", "user_id", "text")) == {
+        ("r0", "u1", None): 1,
+        ("r1", "u1", "a"): 1,
+        ("r2", "u2", "two"): 2,
+        (None, "u1", None): 1,
+        ("r14", "u2", "two"): 1,
+    }
+    plan = plan_of(t.reviews_of_all(keys))
+    assert plan.count("LeftOuter") == plan.count("LeftSemi") == 1
+    assert plan.index("LeftOuter") < plan.index("LeftSemi")
+
+
 def test_key_table_gives_one_row_per_user(spark, t):
     keys = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("zz",)], "k string")
     found = t.users_by_ids(keys)
